@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["layers"]
+_MODULES = ["layers", "storage"]
 
 
 def _load():

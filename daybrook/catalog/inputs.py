@@ -25,6 +25,7 @@ def user_attributes(spark, sf_dir) -> DataFrame:
     seg = F.col("c_mktsegment")
     region = F.col("n_regionkey")
     return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey",
         _txt(F.col("c_custkey")).alias("user_id"),
         F.when(seg.isin("BUILDING", "MACHINERY"), "M").otherwise("F").alias("gender"),
         _txt(F.col("c_nationkey") + 18).alias("age"),
@@ -37,20 +38,23 @@ def user_attributes(spark, sf_dir) -> DataFrame:
     )
 
 
-def _fanout(spark, sf_dir) -> DataFrame:
+def _fanout(spark, sf_dir, copies=None) -> DataFrame:
+    """Order lines as text rows; ``copies`` is an array column with one element per row to emit."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part").withColumn(
-        "cat", F.regexp_extract("p_brand", "[0-9]+", 0).cast("int") - 1)
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_type", (F.regexp_extract("p_brand", "[0-9]+", 0).cast("int") - 1).alias("cat"))
     n = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("cat"), F.col("n_regionkey").alias("root"))
     u = user_attributes(spark, sf_dir)
+    # both sides grow with the data, so this join is a shuffled one at any scale
     j = (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        li.join(o.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(p, F.col("l_partkey") == F.col("p_partkey"))
         .join(n, "cat")
-        .join(u, F.col("o_custkey").cast("string") == F.col("user_id"))
+        .join(u, F.col("o_custkey") == F.col("c_custkey"))
     )
+    j = j.withColumn("copy", F.explode(copies) if copies is not None else F.lit(0))
     return j.select(
         "user_id",
         _txt(F.col("o_orderkey")).alias("pid"),
@@ -73,9 +77,8 @@ def _fanout(spark, sf_dir) -> DataFrame:
         F.col("p_name").alias("tag_name"),
         F.col("p_type").alias("title"),
         _txt((F.col("o_orderkey") + F.col("l_linenumber") % 2) % 24).alias("p_hour"),
-        F.concat(_txt(F.year("o_orderdate")), F.lit("0101")).alias("p_date"),
+        F.concat(_txt(F.year("o_orderdate") + F.when(F.col("copy") == 2, 1).otherwise(0)), F.lit("0101")).alias("p_date"),
         "gender", "age", "mod_price", "fre_city", "fre_community_type", "fre_city_level",
-        "l_returnflag", "l_linestatus",
     )
 
 
@@ -86,11 +89,10 @@ def raw_fanout(spark, sf_dir) -> DataFrame:
 
 def raw_interactions(spark, sf_dir) -> DataFrame:
     """The fan-out plus exact copies (returned lines) and copies under the next date partition."""
-    f = _fanout(spark, sf_dir)
-    copies = f.where(F.col("l_returnflag") == "A")
-    moved = f.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).withColumn(
-        "p_date", F.concat(_txt(F.col("p_date").substr(1, 4).cast("int") + 1), F.lit("0101")))
-    return f.unionByName(copies).unionByName(moved).select(*RAW_COLUMNS)
+    copies = F.array_compact(F.array(
+        F.lit(0), F.when(F.col("l_returnflag") == "A", 1),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 2)))
+    return _fanout(spark, sf_dir, copies).select(*RAW_COLUMNS)
 
 
 def raw_with_defects(spark, sf_dir) -> DataFrame:

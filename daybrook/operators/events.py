@@ -6,9 +6,8 @@ Ownership: an event belongs to the earliest date partition it appears in. Collap
 Exact copies never change the result of the collapse (minimum row, distinct tags, distinct pairs), so staging
 does not pay for a 28-column distinct; only the duplicate statistics do.
 
-A single event may own a large share of the rows. The collapse is a plain aggregate, combined map-side by
-(event, date, tag) and again by (event, date); after it an event has at most one row per date partition, and only
-those rows meet in the ownership window.
+A single event may own a large share of the rows. The collapse is a plain aggregate and combines map-side; after
+it an event has at most one row per date partition, and only those rows meet in the ownership window.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -39,15 +38,16 @@ def type_rows(raw: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
 
 
 def collapse(typed: DataFrame) -> DataFrame:
-    """One row per (event key, p_date): the first whole row and ``tag_count``."""
+    """One row per (event key, p_date): the first whole row and ``tag_count``.
+
+    The wide row and the tag count are two aggregates over the same keys. Wide rows are shuffled once, already
+    reduced map-side to one per event; only (key, date, tag) is shuffled for the distinct count. Both sides end up
+    hashed and sorted by the same keys, so joining them needs no further exchange.
+    """
     keys = EVENT_KEY + ["p_date"]
-    first = F.min(F.struct(*COLLAPSE_ORDER))
-    per_tag = typed.groupBy(*keys, "tag_name").agg(first.alias("row"))
-    return (
-        per_tag.groupBy(*keys)
-        .agg(F.min("row").alias("row"), F.count("tag_name").alias("tag_count"))
-        .select(*keys, "row.*", "tag_count")
-    )
+    first = typed.groupBy(*keys).agg(F.min(F.struct(*COLLAPSE_ORDER)).alias("row"))
+    tags = typed.groupBy(*keys).agg(F.countDistinct("tag_name").alias("tag_count"))
+    return first.join(tags, keys).select(*keys, "row.*", "tag_count")
 
 
 def keep_earliest_date(rows: DataFrame, key=EVENT_KEY, date="p_date") -> DataFrame:
