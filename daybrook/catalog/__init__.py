@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["layers", "storage"]
+_MODULES = ["layers", "storage", "quality"]
 
 
 def _load():
