@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["layers", "storage", "quality"]
+_MODULES = ["layers", "storage", "quality", "analysis"]
 
 
 def _load():
