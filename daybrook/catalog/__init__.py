@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["layers", "storage", "quality", "analysis"]
+_MODULES = ["layers", "storage", "quality", "analysis", "warehouse", "profiling"]
 
 
 def _load():

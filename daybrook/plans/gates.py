@@ -145,16 +145,21 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
     return K.report(rows, "raw", specs, PART)
 
 
-def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Params = DEFAULTS, owners=None) -> DataFrame:
     """10 checks per date: staging against the raw rows it came from.
 
-    ``raw`` holds every date; the two business rules and the category rule only bind on the first date, where no
-    earlier partition can own events.
+    Without ``owners`` the inputs hold every date. With it they hold one date and ``owners`` the event keys of all
+    earlier ones. The business rules and the category rule only bind on the first date, where no earlier
+    partition can own events.
     """
     typed = E.type_rows(raw.select(*RAW_COLUMNS))
-    first_date = typed.agg(F.min("p_date").alias("d"))
-    expected = typed.groupBy(*EVENT_KEY).agg(F.min("p_date").alias("p_date")).groupBy("p_date").agg(
-        _N.alias("expected"))
+    keys = typed.groupBy(*EVENT_KEY).agg(F.min("p_date").alias("p_date"))
+    if owners is None:
+        is_first = F.col("p_date") == _scalar(typed.agg(F.min("p_date").alias("d")), "d")
+    else:
+        keys = E.not_owned_earlier(keys, owners)
+        is_first = F.lit(owners.isEmpty())
+    expected = keys.groupBy("p_date").agg(_N.alias("expected"))
     unknown = ["fre_community_type", "fre_city_level"]
     first_rows = typed.groupBy(*EVENT_KEY, "p_date").agg(
         F.min(F.struct(*E.COLLAPSE_ORDER)).alias("r"),
@@ -177,7 +182,7 @@ def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Par
     rows = (
         expected.join(stg, "p_date", "full_outer").join(raw_side, "p_date", "left").join(dup, "p_date", "left")
         .join(dup_pairs, "p_date", "left").join(bare, "p_date", "left")
-        .fillna(0).withColumn("is_first", F.col("p_date") == _scalar(first_date, "d"))
+        .fillna(0).withColumn("is_first", is_first)
         .withColumn("p_date", C.date_to_label("p_date"))
     )
     first = F.col("is_first")

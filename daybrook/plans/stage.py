@@ -31,6 +31,12 @@ def stage_category_pairs(raw: DataFrame) -> DataFrame:
     return E.owned_category_pairs(E.type_rows(raw, EVENT_KEY + ["category_id", "p_date"]))
 
 
+def category_pairs_of(raw_day: DataFrame, owned: DataFrame) -> DataFrame:
+    """Pairs of one date, given the events that date owns."""
+    seen = E.type_rows(raw_day, EVENT_KEY + ["category_id", "p_date"]).distinct()
+    return seen.join(owned.select(*EVENT_KEY), EVENT_KEY, "left_semi").select("pid", "category_id", "p_date").distinct()
+
+
 def stage_statistics(raw: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """The nine counters of a staging run, per date."""
     rows = dedup.duplicate_stats(raw, ["p_date"]).select(
