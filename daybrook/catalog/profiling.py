@@ -222,3 +222,12 @@ query("lineage_counts", _COUNTS)(layer_counts)
 def lineage_problems(spark, sf):
     """Consistency rules between the layers that do not hold: none."""
     return lineage.consistency_problems(materialize(layer_counts(spark, sf), "counts"))
+
+
+@query("lineage_consistency", f"""
+SELECT 'rows after dedup' AS rule, CAST(sum(CASE name WHEN 'interaction_rows' THEN n WHEN 'exact_duplicate_rows' THEN -n WHEN 'rows_after_dedup' THEN -n END) AS BIGINT) AS difference FROM ({_COUNTS})
+UNION ALL SELECT 'events after ownership', CAST(sum(CASE name WHEN 'events_in_partitions' THEN n WHEN 'owned_earlier' THEN -n WHEN 'events' THEN -n END) AS BIGINT) FROM ({_COUNTS})
+UNION ALL SELECT 'curated equals staged', CAST(sum(CASE name WHEN 'events' THEN n WHEN 'interactions_curated' THEN -n END) AS BIGINT) FROM ({_COUNTS})
+UNION ALL SELECT 'features cover events', CAST(sum(CASE name WHEN 'feature_events' THEN n WHEN 'interactions_curated' THEN -n END) AS BIGINT) FROM ({_COUNTS})""")
+def lineage_consistency(spark, sf):
+    return lineage.consistency(materialize(layer_counts(spark, sf), "counts"))

@@ -1,11 +1,11 @@
 """Scans, sinks and layout over the driver's tables. Each query writes to a fresh path and reads it back."""
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from daybrook.catalog import inputs as I
 from daybrook.catalog.entry import query
 from daybrook.functions import columns as C
-from daybrook.plans import curate, layout, stage
+from daybrook.plans import curate, ingest, layout, stage
 from daybrook.schemas import CURATED_EVENT_COLUMNS
 from daybrook.session import work_path
 from daybrook.sources import readers as R, sinks as W
@@ -234,3 +234,45 @@ def report_sink(spark, sf):
     W.write_report(stats, path, ["p_date"])
     W.write_report(stats, path, ["p_date"])
     return spark.read.schema("n_events bigint, watch_seconds bigint, p_date string").json(path)
+
+
+@query("p_date_labels", """
+SELECT o_orderkey, label, regexp_full_match(label, '[0-9]{8}') AS is_valid,
+       CASE WHEN regexp_full_match(label, '[0-9]{8}') THEN CAST(strptime(label, '%Y%m%d') AS DATE) END AS p_date,
+       CASE WHEN regexp_full_match(label, '[0-9]{8}') THEN strftime(strptime(label, '%Y%m%d'), '%Y-%m-%d') END AS iso
+FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%d')
+             WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y%m%d') || chr(10) ELSE strftime(o_orderdate, '%Y%m%d') END AS label FROM orders)""")
+def p_date_labels(spark, sf):
+    """Date labels: eight digits and nothing else, not even a line break; then date and ISO text."""
+    o = I.table(spark, sf, "orders")
+    plain = F.date_format("o_orderdate", "yyyyMMdd")
+    label = (F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy-MM-dd"))
+             .when(F.col("o_orderstatus") == "F", F.concat(plain, F.lit("\n"))).otherwise(plain))
+    ok = C.is_p_date_text("label")
+    d = F.when(ok, C.label_to_date(F.when(ok, F.col("label"))))
+    return o.select("o_orderkey", label.alias("label")).select(
+        "o_orderkey", "label", ok.alias("is_valid"), d.alias("p_date"), F.date_format(d, "yyyy-MM-dd").alias("iso"))
+
+
+@query("ingest_all_sources", """
+SELECT 'interactions' AS source, 'OK' AS status, (SELECT count(*) FROM raw) AS n_rows
+UNION ALL SELECT 'categories', 'OK', (SELECT count(*) FROM part_cats)
+UNION ALL SELECT 'transcripts', 'MISSING', NULL
+UNION ALL SELECT 'rules', 'OK', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'holidays', 'ERROR', NULL""")
+def ingest_all_sources(spark, sf):
+    """One batch over every source kind; two sources are missing and stop nothing."""
+    src, raw = work_path(spark, "sources"), work_path(spark, "raw")
+    I.raw_interactions(spark, sf).write.options(**R.CSV_WRITE).csv(f"{src}/interactions")
+    lookup = I.raw_part_categories(spark, sf)
+    lookup.coalesce(1).sortWithinPartitions("_file_seq").drop("_file_seq").write.options(**R.CSV_WRITE).csv(f"{src}/categories")
+    I.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").write.json(f"{src}/rules")
+    payload = "o_orderkey bigint, o_orderpriority string"
+    ingest.ingest_all(
+        spark,
+        {"interactions": f"{src}/interactions", "categories": f"{src}/categories", "transcripts": f"{src}/none",
+         "payloads": {"rules": f"{src}/rules", "holidays": f"{src}/nothing"}},
+        raw, {"rules": payload, "holidays": payload}, multi_line_payloads=False)
+    log = R.read_log(spark, f"{raw}/_ingestion_log")
+    n = F.coalesce(*[F.get_json_object("detail", f"$.{k}") for k in ("total_rows_read", "rows", "records_retrieved")])
+    return log.select("source", "status", n.try_cast("bigint").alias("n_rows"))

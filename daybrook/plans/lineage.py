@@ -34,10 +34,15 @@ CONSISTENCY = {
 }
 
 
-def consistency_problems(counts: DataFrame) -> DataFrame:
-    """Rules whose signed sum is not zero; empty when the layers agree."""
+def consistency(counts: DataFrame) -> DataFrame:
+    """Every rule with its signed difference; zero when the layers agree."""
     out = []
     for rule, terms in CONSISTENCY.items():
         signed = reduce(lambda acc, t: acc.when((F.col("layer") == t[0]) & (F.col("name") == t[1]), F.col("n") * t[2]), terms, F)
         out.append(counts.agg(F.sum(signed).alias("difference")).select(F.lit(rule).alias("rule"), "difference"))
-    return reduce(DataFrame.unionByName, out).where("difference <> 0")
+    return reduce(DataFrame.unionByName, out)
+
+
+def consistency_problems(counts: DataFrame) -> DataFrame:
+    """Rules that do not hold."""
+    return consistency(counts).where("difference <> 0")
