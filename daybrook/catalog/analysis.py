@@ -7,7 +7,7 @@ from daybrook.catalog.entry import query
 from daybrook.functions import columns as C
 from daybrook.operators import sessions
 from daybrook.operators.quantiles import quantiles
-from daybrook.plans import analytics as A, curate, reports as Q, stage
+from daybrook.plans import analytics as A, curate, lineage, reports as Q, stage
 from daybrook.session import materialize
 
 DAY = "2024-01-15"
@@ -170,7 +170,7 @@ SELECT category_name_en, category_name_cn, count(DISTINCT user_id) AS users, {_r
 FROM staged JOIN dim_bridge USING (pid) JOIN dim_cats USING (category_id) WHERE category_level = 1
 GROUP BY 1, 2 ORDER BY 4 DESC, 1, 2 LIMIT 10""")
 def q5_top_categories(spark, sf):
-    raw = I.raw_interactions(spark, sf)
+    raw = I.landed_raw(spark, sf)
     return Q.top_categories(stage.stage_events(raw), curate.dim_video_categories(stage.stage_category_pairs(raw)),
                             stage.stage_categories(I.raw_categories(spark, sf)))
 
@@ -201,7 +201,6 @@ LEFT JOIN staged s ON r.user_id = s.user_id AND r.pid = s.pid AND r.exposed_time
 LEFT JOIN staged_feat f ON s.user_id = f.user_id AND s.p_date = f.feature_date""")
 def record_trace(spark, sf):
     """Every event across the layers: raw rows, owning date, staged row and the feature row it feeds."""
-    from daybrook.plans import lineage
-    raw = I.raw_interactions(spark, sf)
-    staged = stage.stage_events(raw)
+    raw = I.landed_raw(spark, sf)
+    staged = materialize(stage.stage_events(raw), "staged")
     return lineage.record_trace(raw, staged, curate.daily_features(staged))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybrook.functions import columns as C
 from daybrook.schemas import CATEGORY_COLUMNS, RAW_COLUMNS
+from daybrook.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +96,11 @@ def raw_interactions(spark, sf_dir) -> DataFrame:
     return _fanout(spark, sf_dir, copies).select(*RAW_COLUMNS)
 
 
+def landed_raw(spark, sf_dir) -> DataFrame:
+    """``raw_interactions`` stored once, as the raw layer is, for plans that scan it several times."""
+    return materialize(raw_interactions(spark, sf_dir), "raw")
+
+
 def raw_with_defects(spark, sf_dir) -> DataFrame:
     """``raw_interactions`` with one kind of bad value per tag or title, for the failing gate branches."""
     r = raw_interactions(spark, sf_dir).withColumn("part_date", F.col("p_date"))

@@ -47,7 +47,7 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, 28 AS n_columns, true AS schema_matches
        CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS exact_duplicate_share, min(p_date) AS p_date_min, max(p_date) AS p_date_max
 FROM (SELECT *, count(*) AS n FROM raw GROUP BY ALL)""")
 def profile_dataset(spark, sf):
-    return P.dataset_profile(I.raw_interactions(spark, sf))
+    return P.dataset_profile(I.landed_raw(spark, sf))
 
 
 @query("profile_rows_per_partition", "SELECT p_date, count(*) AS n_rows FROM raw GROUP BY 1")

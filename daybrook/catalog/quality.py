@@ -3,10 +3,14 @@
 from pyspark.sql import functions as F
 
 from daybrook.catalog import inputs as I
-from daybrook.catalog.entry import query, register
+from daybrook.catalog.entry import ORACLES, query
 from daybrook.operators import checks as K, compare
 from daybrook.plans import constraints, curate, gates, stage
-from daybrook.schemas import ACCEPTED_VALUES, BOOL_COLUMNS, EVENT_KEY, INT_COLUMNS, RAW_COLUMNS, USER_ATTRIBUTES
+from daybrook.schemas import (
+    ACCEPTED_VALUES, BOOL_COLUMNS, CURATED_EVENT_COLUMNS, FEATURE_COLUMNS, INT_COLUMNS, RAW_COLUMNS,
+    USER_ATTRIBUTES, USER_COLUMNS, VIDEO_COLUMNS,
+)
+from daybrook.session import materialize
 from daybrook.sources.readers import PART
 
 _REPORT = ["stage", "p_date", "name", "check_type", "severity", "passed", "violations"]
@@ -72,12 +76,12 @@ def _raw_gate(spark, sf, raw):
 
 @query("gate_raw", _sql_raw_gate("raw", "p_date", "cats"))
 def gate_raw(spark, sf):
-    return _raw_gate(spark, sf, I.raw_interactions(spark, sf).withColumn(PART, F.col("p_date")))
+    return _raw_gate(spark, sf, I.landed_raw(spark, sf).withColumn(PART, F.col("p_date")))
 
 
 @query("gate_raw_defects", _sql_raw_gate("defects", "part_date", "cats"))
 def gate_raw_defects(spark, sf):
-    return _raw_gate(spark, sf, I.raw_with_defects(spark, sf))
+    return _raw_gate(spark, sf, materialize(I.raw_with_defects(spark, sf), "raw"))
 
 
 @query("unexpected_values_top5", """
@@ -135,6 +139,13 @@ def spoil_staged(staged):
     return kept.unionByName(staged.where((d == day(1998)) & F.col("hate")))
 
 
+def _stored_layers(spark, sf):
+    """Raw, staged events and pairs as the gate finds them: stored."""
+    raw = I.landed_raw(spark, sf)
+    return (raw, materialize(stage.stage_events(raw).drop("staged_at"), "staged"),
+            materialize(stage.stage_category_pairs(raw), "pairs"))
+
+
 def _sql_staged_gate(staged, pairs):
     first = "p_date = (SELECT min(p_date) FROM typed)"
 
@@ -174,8 +185,8 @@ FROM ({" UNION ALL ".join(out)})"""
 
 @query("gate_staged", _sql_staged_gate("staged", "pairs"))
 def gate_staged(spark, sf):
-    raw = I.raw_interactions(spark, sf)
-    return gates.staged_gate(raw, stage.stage_events(raw), stage.stage_category_pairs(raw)).select(*_REPORT)
+    raw, staged, pairs = _stored_layers(spark, sf)
+    return gates.staged_gate(raw, staged, pairs).select(*_REPORT)
 
 
 def _with_spoiled(sql):
@@ -186,16 +197,13 @@ def _with_spoiled(sql):
 
 @query("gate_staged_defects", _sql_staged_gate("spoiled", "spoiled_pairs") + " -- staged pairs")
 def gate_staged_defects(spark, sf):
-    raw = I.raw_interactions(spark, sf)
-    pairs = stage.stage_category_pairs(raw)
+    raw, staged, pairs = _stored_layers(spark, sf)
     lost = (F.col("p_date") == F.lit("1995-01-01").cast("date")) & (F.col("category_id") == 3)
     spoiled_pairs = pairs.where(~lost).unionByName(pairs.where("category_id = 5"))
-    return gates.staged_gate(raw, spoil_staged(stage.stage_events(raw).drop("staged_at")), spoiled_pairs).select(*_REPORT)
+    return gates.staged_gate(raw, spoil_staged(staged), spoiled_pairs).select(*_REPORT)
 
 
-from daybrook.catalog import entry as _entry  # noqa: E402
-
-_entry.ORACLES["gate_staged_defects"] = _with_spoiled(_entry.ORACLES["gate_staged_defects"])
+ORACLES["gate_staged_defects"] = _with_spoiled(ORACLES["gate_staged_defects"])
 
 
 # ---- curated --------------------------------------------------------------------------------
@@ -226,9 +234,9 @@ FROM ({" UNION ALL ".join(out)})""".replace("FROM dates", "FROM (SELECT DISTINCT
 
 
 def curated_tables(spark, sf):
-    """The published tables over ``events``: facts, features and dimensions."""
+    """The published tables over ``events``: facts, features and dimensions, stored as the gate finds them."""
     e = I.daily_events(spark, sf)
-    return {
+    plans = {
         "interactions_curated": curate.curated_events(e),
         "daily_user_features": curate.daily_features(e),
         "users": I.users(spark, sf),
@@ -236,6 +244,7 @@ def curated_tables(spark, sf):
         "categories": stage.stage_categories(I.raw_categories(spark, sf)),
         "video_categories": I.video_categories(spark, sf),
     }
+    return {name: materialize(df, name) for name, df in plans.items()}
 
 
 def _curated_gate(t, staged):
@@ -307,8 +316,6 @@ def _sql_constraints(tables):
     return f"SELECT table_name, kind, name, CAST(violations AS BIGINT) AS violations FROM ({' UNION ALL '.join(out)})"
 
 
-from daybrook.schemas import CURATED_EVENT_COLUMNS, FEATURE_COLUMNS, USER_COLUMNS, VIDEO_COLUMNS  # noqa: E402
-
 _EV_VIDEOS = """(SELECT v.*, t.pid IS NOT NULL AS has_transcript, t.transcript_word_count FROM (
   SELECT pid, author_id, title, duration FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY title, author_id, duration) AS rn FROM ev)
   WHERE rn = 1) v LEFT JOIN dim_transcripts t ON v.pid = t.pid)"""

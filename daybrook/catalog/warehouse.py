@@ -79,7 +79,7 @@ UNION ALL SELECT 'categories', count(*), NULL, NULL FROM nation
 UNION ALL SELECT 'video_categories', count(*), NULL, NULL FROM bridge""")
 def warehouse_load(spark, sf):
     """Two dates published, the first one twice: same contents as one load each."""
-    curated = {n: materialize(df, n) for n, df in curated_tables(spark, sf).items()}
+    curated = curated_tables(spark, sf)
     root = work_path(spark, "warehouse")
     WH.load_dates(spark, curated, root, _DAYS)
     WH.load_date(spark, curated, root, _DAYS[0])
@@ -99,7 +99,7 @@ def warehouse_load(spark, sf):
 SELECT p_date, count(*) AS n_rows, false AS second_load_published FROM ev WHERE p_date = DATE '2024-01-14' GROUP BY 1""")
 def load_all_or_nothing(spark, sf):
     """The second date breaks a rule: the load raises and the warehouse still holds only the first date."""
-    curated = {n: materialize(df, n) for n, df in curated_tables(spark, sf).items()}
+    curated = curated_tables(spark, sf)
     root = work_path(spark, "warehouse")
     WH.load_date(spark, curated, root, _DAYS[0])
     bad = curated["interactions_curated"].withColumn("tag_count", F.when(F.col("hate"), 0).otherwise(F.col("tag_count")))

@@ -18,8 +18,10 @@ def strip(c) -> Column:
 
 
 def is_blank(c) -> Column:
+    """Empty or only white space. A first character that is visible ASCII settles it without the pattern."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col.rlike(rf"(?U)\A{SPACE}*\z"), F.lit(True))
+    return F.when(F.ascii(col).between(33, 126), F.lit(False)).otherwise(
+        F.coalesce(col.rlike(rf"(?U)\A{SPACE}*\z"), F.lit(True)))
 
 
 def word_count(c) -> Column:
@@ -31,7 +33,10 @@ def word_count(c) -> Column:
 def is_int_text(c) -> Column:
     """``-?digits`` and inside the 64-bit range. ``\\z`` because ``$`` also matches before a newline."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col.rlike(r"\A-?[0-9]+\z") & col.try_cast("bigint").isNotNull(), F.lit(False))
+    value = col.try_cast("bigint")
+    # canonical digits settle it; leading zeros and other spellings go through the pattern
+    return F.when(value.cast("string") == col, F.lit(True)).otherwise(
+        F.coalesce(col.rlike(r"\A-?[0-9]+\z") & value.isNotNull(), F.lit(False)))
 
 
 def is_number_text(c) -> Column:

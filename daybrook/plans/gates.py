@@ -17,7 +17,9 @@ from daybrook.schemas import (
 )
 from daybrook.sources.readers import PART
 
-_N = F.count(F.lit(1))
+
+def _n():
+    return F.count(F.lit(1))
 
 
 def _named_counts(prefix, names):
@@ -42,7 +44,7 @@ def accepted_value_violations(raw: DataFrame) -> DataFrame:
     bad = F.array_compact(F.array(*[
         F.when(~F.col(c).isin(ACCEPTED_VALUES[c]), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
         for c in cols]))
-    return raw.select(PART, F.inline(bad)).groupBy(PART, "column_name", "value").agg(_N.alias("n"))
+    return raw.select(PART, F.inline(bad)).groupBy(PART, "column_name", "value").agg(_n().alias("n"))
 
 
 def top_unexpected_values(raw: DataFrame, k=5) -> DataFrame:
@@ -67,11 +69,12 @@ def first_orphans(raw: DataFrame, lookup: DataFrame, k=10) -> DataFrame:
 
 
 def inconsistent_users(raw: DataFrame) -> DataFrame:
-    """Users whose attributes differ inside one date. Minimum against maximum instead of six distinct counts."""
-    per_user = raw.groupBy(PART, "user_id").agg(
-        *[F.min(c).alias(f"lo_{c}") for c in USER_ATTRIBUTES], *[F.max(c).alias(f"hi_{c}") for c in USER_ATTRIBUTES])
-    differs = reduce(lambda a, b: a | b, [F.col(f"lo_{c}") != F.col(f"hi_{c}") for c in USER_ATTRIBUTES])
-    return per_user.where(differs).select(PART, "user_id")
+    """Users with more than one combination of attributes inside one date.
+
+    Distinct combinations are a hash aggregate that shrinks map-side; six distinct counts would expand every row.
+    """
+    seen = raw.select(PART, "user_id", *USER_ATTRIBUTES).distinct()
+    return seen.groupBy(PART, "user_id").agg(_n().alias("n")).where("n > 1").select(PART, "user_id")
 
 
 def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -85,7 +88,7 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
     not_empty = Check("partition_not_empty", "row_count", F.when(F.col("n_rows") > 0, 0).otherwise(1),
                       F.concat(F.col("n_rows").cast("string"), F.lit(" rows")))
     if missing:
-        return K.report(raw.groupBy(PART).agg(_N.alias("n_rows")), "raw", [schema_check, not_empty], PART)
+        return K.report(raw.groupBy(PART).agg(_n().alias("n_rows")), "raw", [schema_check, not_empty], PART)
 
     def num(c):
         return F.col(c).try_cast("bigint")
@@ -101,7 +104,7 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
     typed = INT_COLUMNS + ["duration"] + BOOL_COLUMNS
     accepted = {f"{c}_accepted_values": ~F.col(c).isin(ok) for c, ok in ACCEPTED_VALUES.items()}
     counters = raw.groupBy(PART).agg(
-        _N.alias("n_rows"),
+        _n().alias("n_rows"),
         *[C.count_if(C.is_blank(c)).alias(f"blank_{c}") for c in RAW_COLUMNS],
         *[C.count_if(~C.is_int_text(c)).alias(f"type_{c}") for c in INT_COLUMNS],
         C.count_if(~C.is_number_text("duration")).alias("type_duration"),
@@ -111,13 +114,13 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
     )
     dups = dedup.duplicate_stats(raw.select(*RAW_COLUMNS, PART), [PART]).select(
         PART, "exact_duplicate_rows", "exact_duplicate_share")
-    users = inconsistent_users(raw).groupBy(PART).agg(_N.alias("bad_users"))
-    orphans = orphan_category_ids(raw, lookup).groupBy(PART).agg(_N.alias("orphan_ids"))
-    repeated = dedup.duplicate_keys(lookup, ["category_id"]).agg(_N.alias("n"))
+    users = inconsistent_users(raw).groupBy(PART).agg(_n().alias("bad_users"))
+    orphans = orphan_category_ids(raw, lookup).groupBy(PART).agg(_n().alias("orphan_ids"))
+    repeated = dedup.duplicate_keys(lookup, ["category_id"]).agg(_n().alias("n"))
     rows = (
         counters.join(dups, PART, "left").join(users, PART, "left").join(orphans, PART, "left")
         .withColumn("lookup_repeated", _scalar(repeated, "n"))
-        .withColumn("transcripts", _scalar(transcripts.agg(_N.alias("n")), "n"))
+        .withColumn("transcripts", _scalar(transcripts.agg(_n().alias("n")), "n"))
         .fillna(0, ["bad_users", "orphan_ids"])
     )
     blank, bad_type = _total("blank_", RAW_COLUMNS), _total("type_", typed)
@@ -159,7 +162,7 @@ def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Par
     else:
         keys = E.not_owned_earlier(keys, owners)
         is_first = F.lit(owners.isEmpty())
-    expected = keys.groupBy("p_date").agg(_N.alias("expected"))
+    expected = keys.groupBy("p_date").agg(_n().alias("expected"))
     unknown = ["fre_community_type", "fre_city_level"]
     first_rows = typed.groupBy(*EVENT_KEY, "p_date").agg(
         F.min(F.struct(*E.COLLAPSE_ORDER)).alias("r"),
@@ -168,7 +171,7 @@ def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Par
         C.count_if(F.col("r.watch_time") > F.col("r.duration") * F.lit(params.rewatch_ratio)).alias("raw_rewatch"),
         *[F.sum(f"u_{c}").alias(f"raw_{c}") for c in unknown])
     stg = staged.groupBy("p_date").agg(
-        _N.alias("staged"),
+        _n().alias("staged"),
         C.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in EVENT_KEY])).alias("null_keys"),
         C.count_if(~(F.col("tag_count") >= 1) | F.col("tag_count").isNull()).alias("low_tags"),
         C.count_if(~(F.col("watch_ratio") >= 0) | F.col("watch_ratio").isNull()).alias("low_ratio"),
@@ -178,7 +181,7 @@ def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Par
     dup = dedup.duplicate_keys(staged, EVENT_KEY, ["p_date"]).groupBy("p_date").agg(F.sum("surplus").alias("dup_keys"))
     dup_pairs = dedup.duplicate_keys(pairs, ["pid", "category_id"], ["p_date"]).groupBy("p_date").agg(
         F.sum("surplus").alias("dup_pairs"))
-    bare = compare.missing_keys(staged, pairs, ["p_date", "pid"]).groupBy("p_date").agg(_N.alias("bare"))
+    bare = compare.missing_keys(staged, pairs, ["p_date", "pid"]).groupBy("p_date").agg(_n().alias("bare"))
     rows = (
         expected.join(stg, "p_date", "full_outer").join(raw_side, "p_date", "left").join(dup, "p_date", "left")
         .join(dup_pairs, "p_date", "left").join(bare, "p_date", "left")
@@ -222,25 +225,25 @@ def curated_gate(events: DataFrame, features: DataFrame, users: DataFrame, video
         return C.count_if((F.col(c) < 0) | (F.col(c) > 1))
 
     f = ft.groupBy("p_date").agg(
-        _N.alias("n_features"), F.sum("n_events").alias("sum_events"),
+        _n().alias("n_features"), F.sum("n_events").alias("sum_events"),
         *[outside(c).alias(f"out_{c}") for c in ("late_night_share", "hate_rate", "rewatch_rate")],
         C.count_if(F.col("hate_events") > F.col("n_events")).alias("hate_over"),
         C.count_if(~((F.col("n_sessions") >= 1) & (
             F.col("max_session_seconds") >= F.col("avg_session_seconds") - 1e-9))).alias("bad_sessions"))
-    e = events.groupBy("p_date").agg(_N.alias("curated"))
-    s = staged.groupBy("p_date").agg(_N.alias("staged"))
+    e = events.groupBy("p_date").agg(_n().alias("curated"))
+    s = staged.groupBy("p_date").agg(_n().alias("staged"))
     dup = dedup.duplicate_keys(ft, ["user_id", "p_date"]).groupBy("p_date").agg(F.sum("surplus").alias("dup"))
 
     def per_date_missing(df, dim, key, name):
         ids = df.select("p_date", key).distinct()
-        return ids.join(dim.select(key).distinct(), key, "left_anti").groupBy("p_date").agg(_N.alias(name))
+        return ids.join(dim.select(key).distinct(), key, "left_anti").groupBy("p_date").agg(_n().alias(name))
 
     rows = f.join(e, "p_date", "full_outer").join(s, "p_date", "full_outer").join(dup, "p_date", "left")
     for part in (per_date_missing(ft, users, "user_id", "ft_users"), per_date_missing(events, users, "user_id", "ev_users"),
                  per_date_missing(events, videos, "pid", "ev_videos")):
         rows = rows.join(part, "p_date", "left")
-    no_cat = compare.missing_keys(bridge, categories, "category_id").agg(_N.alias("n"))
-    no_vid = compare.missing_keys(bridge, videos, "pid").agg(_N.alias("n"))
+    no_cat = compare.missing_keys(bridge, categories, "category_id").agg(_n().alias("n"))
+    no_vid = compare.missing_keys(bridge, videos, "pid").agg(_n().alias("n"))
     words, has = F.col("transcript_word_count"), F.col("has_transcript")
     tr = videos.agg(C.count_if(
         (~has & words.isNotNull()) | (has & ~F.coalesce(words >= 0, F.lit(False)))).alias("n"))

@@ -14,7 +14,10 @@ NUMERIC = INT_COLUMNS + ["duration"]
 # low-cardinality columns whose values are listed
 LISTED = ["category_level", "cvm_like", "click", "comment", "follow", "collect", "forward", "hate", "gender",
           "fre_community_type", "fre_city_level"]
-_N = F.count(F.lit(1))
+
+
+def _n():
+    return F.count(F.lit(1))
 
 
 def _sum(c):
@@ -24,7 +27,7 @@ def _sum(c):
 def text_value_counts(df: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
     """``(column_name, value, n)`` of every text column."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns])
-    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(_N.alias("n"))
+    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(_n().alias("n"))
 
 
 def column_profile(df: DataFrame, columns=RAW_COLUMNS, numeric=NUMERIC) -> DataFrame:
@@ -34,7 +37,7 @@ def column_profile(df: DataFrame, columns=RAW_COLUMNS, numeric=NUMERIC) -> DataF
     is_num = F.col("column_name").isin([c for c in numeric if c in columns])
     number = F.when(is_num & C.is_number_text("value"), F.col("value").try_cast("double"))
     base = counts.groupBy("column_name").agg(
-        _N.alias("n_distinct"),
+        _n().alias("n_distinct"),
         _sum(F.when(C.is_blank("value"), F.col("n"))).alias("missing"),
         F.sum("n").alias("cells"),
         _sum(F.when(F.col("value") == "unknown", F.col("n"))).alias("unknown"),
@@ -76,7 +79,7 @@ def dataset_profile(df: DataFrame) -> DataFrame:
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:
-    return df.groupBy("p_date").agg(_N.alias("n_rows"))
+    return df.groupBy("p_date").agg(_n().alias("n_rows"))
 
 
 def hours(df: DataFrame) -> DataFrame:
@@ -90,15 +93,15 @@ def row_flags(df: DataFrame) -> DataFrame:
     """Rows with a line break in the title and rows watched longer than the clip."""
     rewatch = F.col("watch_time").try_cast("double") > F.col("duration").try_cast("double")
     return df.agg(
-        _N.alias("n_rows"), C.count_if(F.col("title").contains("\n")).alias("rows_with_newline_in_title"),
+        _n().alias("n_rows"), C.count_if(F.col("title").contains("\n")).alias("rows_with_newline_in_title"),
         C.count_if(rewatch).alias("rewatch_rows"),
     ).withColumn("rewatch_share", C.share("rewatch_rows", "n_rows"))
 
 
 def _per_event(df: DataFrame) -> DataFrame:
     keys = E.type_rows(df, EVENT_KEY + ["p_date"])
-    return keys.groupBy(*EVENT_KEY, "p_date").agg(_N.alias("n")).groupBy(*EVENT_KEY).agg(
-        F.sum("n").alias("n"), _N.alias("dates"))
+    return keys.groupBy(*EVENT_KEY, "p_date").agg(_n().alias("n")).groupBy(*EVENT_KEY).agg(
+        F.sum("n").alias("n"), _n().alias("dates"))
 
 
 def rows_per_event(df: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def rows_per_event(df: DataFrame) -> DataFrame:
     per = _per_event(df)
     buckets = [C.count_if(F.col("n") == k).alias(f"rows_{k}") for k in (1, 2, 3, 4)]
     stats = per.agg(
-        _N.alias("unique_events"), F.min("n").alias("min"), F.max("n").alias("max"), F.sum("n").alias("total"),
+        _n().alias("unique_events"), F.min("n").alias("min"), F.max("n").alias("max"), F.sum("n").alias("total"),
         *buckets, C.count_if(F.col("n") >= 5).alias("rows_5plus"))
     median = quantiles(per, ["n"], [0.5]).select("quantile").scalar()
     return stats.withColumn("mean", C.share("total", "unique_events")).withColumn("median", median).drop("total")
@@ -123,7 +126,7 @@ def time_consistency(df: DataFrame, offset_hours=8) -> DataFrame:
     d, h = F.to_date("p_date", "yyyyMMdd"), F.col("p_hour").try_cast("int")
     out = df.select(t.alias("t"), d.alias("d"), h.alias("h"))
     return out.agg(
-        _N.alias("rows_compared"), F.min("t").alias("exposed_min"), F.max("t").alias("exposed_max"),
+        _n().alias("rows_compared"), F.min("t").alias("exposed_min"), F.max("t").alias("exposed_max"),
         C.count_if(F.col("d") == C.epoch_date("t")).alias("date_equals_utc"),
         C.count_if(F.col("d") == C.epoch_date("t", offset_hours)).alias("date_equals_offset"),
         C.count_if(F.col("h") == C.epoch_hour("t")).alias("hour_equals_utc"),
@@ -132,8 +135,8 @@ def time_consistency(df: DataFrame, offset_hours=8) -> DataFrame:
 
 def lookup_profile(lookup: DataFrame) -> DataFrame:
     """One row: rows, distinct ids, repeated ids and their rows, blank labels, labels with a leading space."""
-    per = lookup.groupBy("category_id").agg(_N.alias("n"))
-    ids = per.agg(_N.alias("distinct_ids"), C.count_if(F.col("n") > 1).alias("repeated_ids"),
+    per = lookup.groupBy("category_id").agg(_n().alias("n"))
+    ids = per.agg(_n().alias("distinct_ids"), C.count_if(F.col("n") > 1).alias("repeated_ids"),
                   _sum(F.when(F.col("n") > 1, F.col("n"))).alias("rows_with_repeated_id"), F.sum("n").alias("n_rows"))
     blank = C.is_blank("category_name_en")
     labels = lookup.agg(
@@ -143,7 +146,7 @@ def lookup_profile(lookup: DataFrame) -> DataFrame:
 
 
 def level_distribution(lookup: DataFrame) -> DataFrame:
-    return lookup.groupBy("category_level").agg(_N.alias("n_rows"))
+    return lookup.groupBy("category_level").agg(_n().alias("n_rows"))
 
 
 def transcript_profile(files: DataFrame, pids: DataFrame) -> DataFrame:
@@ -153,14 +156,14 @@ def transcript_profile(files: DataFrame, pids: DataFrame) -> DataFrame:
                      C.word_count("value").alias("words"))
     videos = pids.select("pid").distinct()
     stats = f.agg(
-        _N.alias("files"), F.min("bytes").alias("bytes_min"), F.max("bytes").alias("bytes_max"),
+        _n().alias("files"), F.min("bytes").alias("bytes_min"), F.max("bytes").alias("bytes_max"),
         F.min("words").alias("words_min"), F.max("words").alias("words_max"),
         C.count_if(F.col("words") == 0).alias("empty_files"),
         C.count_if(F.col("pid").isNull()).alias("non_numeric_names"))
     ids = f.where("pid IS NOT NULL").select("pid").distinct()
-    match = ids.join(videos, "pid", "left_semi").agg(_N.alias("n")).select("n").scalar()
-    miss = compare.missing_keys(ids, videos, "pid").agg(_N.alias("n")).select("n").scalar()
-    total = videos.agg(_N.alias("n")).select("n").scalar()
+    match = ids.join(videos, "pid", "left_semi").agg(_n().alias("n")).select("n").scalar()
+    miss = compare.missing_keys(ids, videos, "pid").agg(_n().alias("n")).select("n").scalar()
+    total = videos.agg(_n().alias("n")).select("n").scalar()
     return stats.withColumn("matching_a_video", match).withColumn("not_matching", miss).withColumn(
         "distinct_videos", total).withColumn("video_coverage", C.share("matching_a_video", "distinct_videos"))
 
@@ -190,7 +193,7 @@ def findings(raw: DataFrame, lookup: DataFrame, files: DataFrame, pids: DataFram
     rows = [
         issue("exact duplicate rows", data, F.col("exact_duplicate_rows")),
         issue("rows beyond one per event", per, n_rows - F.col("unique_events")),
-        issue("events in more than one date", multi_partition_events(raw).agg(_N.alias("n")), F.col("n"), False),
+        issue("events in more than one date", multi_partition_events(raw).agg(_n().alias("n")), F.col("n"), False),
         issue("rows with watch_time greater than duration", flags, F.col("rewatch_rows")),
         issue("titles with a line break", flags, F.col("rows_with_newline_in_title"), False),
         issue("hours of the day with no rows", hours(raw).agg(C.count_if(~F.col("present")).alias("n")), F.col("n"), False),

@@ -42,17 +42,15 @@ def stage_statistics(raw: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     rows = dedup.duplicate_stats(raw, ["p_date"]).select(
         C.label_to_date("p_date").alias("p_date"), F.col("n_rows").alias("raw_rows"),
         F.col("exact_duplicate_rows").alias("exact_duplicate_rows_dropped"))
-    collapsed = E.collapse(E.type_rows(raw))
-    seen = collapsed.groupBy("p_date").agg(F.count(F.lit(1)).alias("events_in_partition"))
-    owned = E.derive(E.keep_earliest_date(collapsed), params).groupBy("p_date").agg(
-        F.count(F.lit(1)).alias("staged_events"),
-        C.count_if(F.col("is_rewatch_flagged")).alias("rewatch_flagged_events"),
-        C.count_if(F.col("hate")).alias("hate_events"))
+    collapsed = E.mark_owner(E.derive(E.collapse(E.type_rows(raw)), params))
+    own = F.col("is_owner")
+    events = collapsed.groupBy("p_date").agg(
+        F.count(F.lit(1)).alias("events_in_partition"), C.count_if(own).alias("staged_events"),
+        C.count_if(own & F.col("is_rewatch_flagged")).alias("rewatch_flagged_events"),
+        C.count_if(own & F.col("hate")).alias("hate_events"))
     pairs = stage_category_pairs(raw).groupBy("p_date").agg(F.count(F.lit(1)).alias("video_category_pairs"))
-    zero = ["staged_events", "rewatch_flagged_events", "hate_events", "video_category_pairs"]
     return (
-        rows.join(seen, "p_date", "left").join(owned, "p_date", "left").join(pairs, "p_date", "left")
-        .fillna(0, zero)
+        rows.join(events, "p_date", "left").join(pairs, "p_date", "left").fillna(0, ["video_category_pairs"])
         .withColumn("events_owned_by_earlier_partition", F.col("events_in_partition") - F.col("staged_events"))
         .select("p_date", "raw_rows", "exact_duplicate_rows_dropped", "events_in_partition",
                 "events_owned_by_earlier_partition", "staged_events", "video_category_pairs",
