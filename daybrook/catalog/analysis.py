@@ -1,6 +1,5 @@
 """Analysis, screening and the representative queries over the driver's tables."""
 
-from pyspark.sql import functions as F
 
 from daybrook.catalog import inputs as I
 from daybrook.catalog.entry import query

@@ -22,19 +22,23 @@ def local_session(cpus="*", app="daybrook", shuffle_partitions=8, memory="8g") -
     return spark
 
 
+_LOCAL_ROOTS = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can see: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors are one process, may fall back to a temporary folder.
+    Where it is unset, only a local master, whose driver and executors are one process, may use a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="daybrook-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="daybrook-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
