@@ -61,15 +61,17 @@ def mark_owner(rows: DataFrame, key=EVENT_KEY, date="p_date") -> DataFrame:
     return rows.withColumn("is_owner", F.col(date) == F.min(date).over(Window.partitionBy(*key)))
 
 
-def not_owned_earlier(rows: DataFrame, owners: DataFrame, key=EVENT_KEY) -> DataFrame:
+def not_owned_earlier(rows: DataFrame, owners: DataFrame, key=EVENT_KEY, seen_in=None) -> DataFrame:
     """Incremental ownership: drop events whose key an earlier partition already owns.
 
     ``owners`` is the compact (key, p_date) table of earlier dates. Only owners inside the exposure range of the
-    new rows can match; both bounds come from one small aggregate and are pushed into the owner scan.
+    new rows can match; the range is one small aggregate over ``seen_in`` (the cheapest table that holds the new
+    exposure times, ``rows`` itself by default) and limits the owner scan.
     """
-    bounds = rows.agg(F.min("exposed_time").alias("lo"), F.max("exposed_time").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    near = owners.where((F.col("exposed_time") >= lo) & (F.col("exposed_time") <= hi)).select(*key).distinct()
+    source = rows if seen_in is None else seen_in
+    t = F.col("exposed_time").cast("bigint")
+    span = source.agg(F.struct(F.min(t).alias("lo"), F.max(t).alias("hi")).alias("span")).scalar()
+    near = owners.where(F.col("exposed_time").between(span["lo"], span["hi"])).select(*key).distinct()
     return rows.join(near, list(key), "left_anti")
 
 

@@ -24,7 +24,7 @@ def stage_events_after(raw_day: DataFrame, owners: DataFrame, params: Params = D
                        staged_at=None) -> DataFrame:
     """One new date against the events owned by earlier dates."""
     collapsed = E.collapse(E.type_rows(raw_day))
-    return E.derive(E.not_owned_earlier(collapsed, owners), params, batch_id, staged_at or utc_now())
+    return E.derive(E.not_owned_earlier(collapsed, owners, seen_in=raw_day), params, batch_id, staged_at or utc_now())
 
 
 def stage_category_pairs(raw: DataFrame) -> DataFrame:

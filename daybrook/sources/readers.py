@@ -66,7 +66,7 @@ def read_raw(spark: SparkSession, root: str, p_date=None, columns=None, fmt="par
     """Landed raw rows as text plus the directory date; one date when ``p_date`` is given."""
     schema = T.StructType(text_schema(RAW_COLUMNS).fields + [T.StructField(PART, T.StringType())])
     reader = spark.read.schema(schema)
-    df = (reader.options(**QUOTED_CSV).csv(root) if fmt == "csv" else reader.parquet(root)).na.fill("")
+    df = (reader.options(**QUOTED_CSV).csv(root) if fmt == "csv" else reader.parquet(root)).na.fill("", RAW_COLUMNS)
     if p_date is not None:
         df = df.where(F.col(PART) == C.check_p_date(p_date))
     return df.select(*columns) if columns else df

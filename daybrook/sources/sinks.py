@@ -25,6 +25,8 @@ def write_partitions(df: DataFrame, root: str, column="p_date", fmt="parquet", *
 def replace_partition(df: DataFrame, root: str, column: str, date):
     """Delete one date and insert the given rows, also when there are none. Returns rows inserted.
 
+    ``df`` is read more than once: pass a stored table, not a long plan.
+
     A dynamic overwrite with no rows would leave the old partition; an empty replacement writes an empty
     file into the partition directory instead.
     """

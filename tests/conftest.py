@@ -27,7 +27,8 @@ BASE = dict(
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, "tests", shuffle_partitions=4, memory="4g")
+    s = local_session(4, "tests", shuffle_partitions=2, memory="4g")
+    s.conf.set("spark.sql.codegen.wholeStage", "false")  # inputs are tiny: compiling each plan would dominate
     yield s
     s.stop()
 
