@@ -83,13 +83,18 @@ def skip_existing_dates(spark, sf):
     return W.rows_per_date(R.read_raw(spark, root))
 
 
+def _deliver_lookup(lookup, path):
+    """CSV files whose names and rows follow the file order."""
+    lookup.repartitionByRange("_file_seq").sortWithinPartitions("_file_seq").drop("_file_seq").write.options(
+        **R.CSV_WRITE).csv(path)
+
+
 @query("category_lookup_staged", "SELECT * FROM dim_part_cats")
 def category_lookup_staged(spark, sf):
     """Lookup CSV with its file order, landed and staged."""
     src, root = work_path(spark, "lookup"), work_path(spark, "categories")
     lookup = I.raw_part_categories(spark, sf)
-    # one file in file order: that is what a lookup delivery is
-    lookup.coalesce(1).sortWithinPartitions("_file_seq").drop("_file_seq").write.options(**R.CSV_WRITE).csv(src)
+    _deliver_lookup(lookup, src)
     W.overwrite_table(R.read_categories_csv(spark, src), root)
     return stage.stage_categories(spark.read.parquet(root))
 
@@ -265,7 +270,7 @@ def ingest_all_sources(spark, sf):
     src, raw = work_path(spark, "sources"), work_path(spark, "raw")
     I.raw_interactions(spark, sf).write.options(**R.CSV_WRITE).csv(f"{src}/interactions")
     lookup = I.raw_part_categories(spark, sf)
-    lookup.coalesce(1).sortWithinPartitions("_file_seq").drop("_file_seq").write.options(**R.CSV_WRITE).csv(f"{src}/categories")
+    _deliver_lookup(lookup, f"{src}/categories")
     I.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").write.json(f"{src}/rules")
     payload = "o_orderkey bigint, o_orderpriority string"
     ingest.ingest_all(

@@ -76,13 +76,14 @@ def not_owned_earlier(rows: DataFrame, owners: DataFrame, key=EVENT_KEY, seen_in
 
 
 def owned_category_pairs(typed: DataFrame) -> DataFrame:
-    """Distinct (p_date, pid, category_id) of the events owned by that date."""
-    w = Window.partitionBy(*EVENT_KEY)
+    """Distinct (p_date, pid, category_id) of the events owned by that date.
+
+    A semi join with one row per event, not a window per event: an event with very many categories is split by
+    the adaptive skew join instead of being ordered in one task.
+    """
     seen = typed.select(*EVENT_KEY, "p_date", "category_id").distinct()
-    return (
-        seen.withColumn("owner", F.min("p_date").over(w)).where("p_date = owner")
-        .select("p_date", "pid", "category_id").distinct()
-    )
+    owners = typed.groupBy(*EVENT_KEY).agg(F.min("p_date").alias("p_date"))
+    return seen.join(owners, EVENT_KEY + ["p_date"], "left_semi").select("p_date", "pid", "category_id").distinct()
 
 
 def derive(events: DataFrame, params: Params = DEFAULTS, batch_id=None, staged_at=None) -> DataFrame:

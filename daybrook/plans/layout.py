@@ -63,19 +63,24 @@ def partition_stats(spark: SparkSession, root: str, schema, column="p_date") ->
         (F.max("n_rows").over(w).cast("double") / F.min("n_rows").over(w)).alias("skew_ratio"))
 
 
-def read_strategies(spark: SparkSession, partitioned: str, single: str, clustered: str, schema, date, column="p_date"):
-    """Four ways to read one date. They differ in what the scan can skip, never in the rows."""
-    wanted = F.col(column) == F.lit(date)
-    cols = [f.name for f in schema.fields]
-    everything = spark.read.schema(schema).parquet(partitioned)
-    return {
-        "partition_read": R.read_partition(spark, partitioned, schema, date, column).select(*cols),
+STRATEGIES = ["partition_read", "full_scan", "single_pushdown", "clustered_pushdown"]
+
+
+def read_one_date(spark: SparkSession, strategy: str, path: str, schema, date, column="p_date") -> DataFrame:
+    """One date of a table, read in one of four ways. They differ in what the scan can skip, never in the rows."""
+    rows = spark.read.schema(schema).parquet(path)
+    if strategy == "full_scan":
         # the filter hides the column behind an expression, so nothing is pruned: the baseline
-        "full_scan": everything.where(
-            F.concat(F.col(column).cast("string"), F.lit("")) == F.lit(str(date))).select(*cols),
-        "single_pushdown": spark.read.schema(schema).parquet(single).where(wanted).select(*cols),
-        "clustered_pushdown": spark.read.schema(schema).parquet(clustered).where(wanted).select(*cols),
-    }
+        rows = rows.where(F.concat(F.col(column).cast("string"), F.lit("")) == F.lit(str(date)))
+    else:
+        rows = rows.where(F.col(column) == F.lit(date))
+    return rows.select(*[f.name for f in schema.fields])
+
+
+def read_strategies(spark: SparkSession, partitioned: str, single: str, clustered: str, schema, date, column="p_date"):
+    """Every strategy on the stored copy it needs."""
+    paths = dict(zip(STRATEGIES, (partitioned, partitioned, single, clustered)))
+    return {s: read_one_date(spark, s, path, schema, date, column) for s, path in paths.items()}
 
 
 def compare_strategies(strategies: dict, baseline="full_scan") -> DataFrame:

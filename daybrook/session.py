@@ -15,6 +15,8 @@ def local_session(cpus="*", app="daybrook", shuffle_partitions=8, memory="8g") -
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # generated methods above this size are not JIT-compiled; wide typing projections run faster without them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -55,7 +55,8 @@ def read_quoted_csv(spark: SparkSession, path: str, columns, header=True) -> Dat
 
 def good_rows(df: DataFrame) -> DataFrame:
     """Rows with the right field count; empty cells are ``''``, never null."""
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT).na.fill("")
+    kept = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return kept.na.fill("", [f.name for f in kept.schema.fields if isinstance(f.dataType, T.StringType)])
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
@@ -113,9 +114,13 @@ def read_table(spark: SparkSession, root: str, schema=None, columns=None) -> Dat
 
 
 def read_categories_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The lookup as text with its file order. One unsplittable file, so ids ascend in file order."""
-    raw = read_quoted_csv(spark, path, CATEGORY_COLUMNS)
-    return good_rows(raw).withColumn("_file_seq", F.monotonically_increasing_id())
+    """The lookup as text with its file order: file name, then position in the file.
+
+    A quoted CSV file is never split, so ids rise along each file whatever files share a task.
+    """
+    rows = read_quoted_csv(spark, path, CATEGORY_COLUMNS).withColumn(
+        "_file_seq", F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row")))
+    return good_rows(rows)
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
