@@ -63,7 +63,8 @@ LEFT JOIN (SELECT p_date, count(*) AS staged_events, count(*) FILTER (WHERE is_r
              count(*) FILTER (WHERE hate) AS hate_events FROM staged GROUP BY 1) o ON r.p_date = o.p_date
 LEFT JOIN (SELECT p_date, count(*) AS video_category_pairs FROM pairs GROUP BY 1) c ON r.p_date = c.p_date""")
 def stage_stats(spark, sf):
-    return stage.stage_statistics(I.landed_raw(spark, sf))
+    raw = I.landed_raw(spark, sf)
+    return stage.stage_statistics(raw, stage.stage_events(raw), stage.stage_category_pairs(raw))
 
 
 @query("watch_ratio_rewatch", """

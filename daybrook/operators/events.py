@@ -56,11 +56,6 @@ def keep_earliest_date(rows: DataFrame, key=EVENT_KEY, date="p_date") -> DataFra
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def mark_owner(rows: DataFrame, key=EVENT_KEY, date="p_date") -> DataFrame:
-    """Flag the row of the earliest date of each key; all rows stay. At most one row per key and date."""
-    return rows.withColumn("is_owner", F.col(date) == F.min(date).over(Window.partitionBy(*key)))
-
-
 def not_owned_earlier(rows: DataFrame, owners: DataFrame, key=EVENT_KEY, seen_in=None) -> DataFrame:
     """Incremental ownership: drop events whose key an earlier partition already owns.
 

@@ -19,15 +19,10 @@ def write_all_formats(df: DataFrame, root: str):
     return paths
 
 
-def stored_bytes(spark: SparkSession, path: str, fmt="parquet") -> DataFrame:
-    """Files and bytes under a path, from the scan's file metadata."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) if fmt != "parquet" else None
-    if files is not None:
-        return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    return (
-        spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
-    )
+def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Files and bytes under a path; files are listed, not opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 def format_fidelity(df: DataFrame, paths: dict, key=EVENT_KEY, infer=False) -> DataFrame:
@@ -41,7 +36,7 @@ def format_fidelity(df: DataFrame, paths: dict, key=EVENT_KEY, infer=False) -> D
 
 
 def format_sizes(spark: SparkSession, paths: dict) -> DataFrame:
-    out = [stored_bytes(spark, path, "file").select(F.lit(fmt).alias("format"), "files", "bytes")
+    out = [stored_bytes(spark, path).select(F.lit(fmt).alias("format"), "files", "bytes")
            for fmt, path in paths.items()]
     return reduce(DataFrame.unionByName, out)
 

@@ -37,20 +37,22 @@ def category_pairs_of(raw_day: DataFrame, owned: DataFrame) -> DataFrame:
     return seen.join(owned.select(*EVENT_KEY), EVENT_KEY, "left_semi").select("pid", "category_id", "p_date").distinct()
 
 
-def stage_statistics(raw: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """The nine counters of a staging run, per date."""
+def stage_statistics(raw: DataFrame, staged: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The nine counters of a staging run, per date, from the raw rows and what was staged from them."""
     rows = dedup.duplicate_stats(raw, ["p_date"]).select(
         C.label_to_date("p_date").alias("p_date"), F.col("n_rows").alias("raw_rows"),
         F.col("exact_duplicate_rows").alias("exact_duplicate_rows_dropped"))
-    collapsed = E.mark_owner(E.derive(E.collapse(E.type_rows(raw)), params))
-    own = F.col("is_owner")
-    events = collapsed.groupBy("p_date").agg(
-        F.count(F.lit(1)).alias("events_in_partition"), C.count_if(own).alias("staged_events"),
-        C.count_if(own & F.col("is_rewatch_flagged")).alias("rewatch_flagged_events"),
-        C.count_if(own & F.col("hate")).alias("hate_events"))
-    pairs = stage_category_pairs(raw).groupBy("p_date").agg(F.count(F.lit(1)).alias("video_category_pairs"))
+    seen = E.type_rows(raw, EVENT_KEY + ["p_date"]).distinct().groupBy("p_date").agg(
+        F.count(F.lit(1)).alias("events_in_partition"))
+    events = staged.groupBy("p_date").agg(
+        F.count(F.lit(1)).alias("staged_events"),
+        C.count_if(F.col("is_rewatch_flagged")).alias("rewatch_flagged_events"),
+        C.count_if(F.col("hate")).alias("hate_events"))
+    pair_counts = pairs.groupBy("p_date").agg(F.count(F.lit(1)).alias("video_category_pairs"))
+    zero = ["staged_events", "rewatch_flagged_events", "hate_events", "video_category_pairs"]
     return (
-        rows.join(events, "p_date", "left").join(pairs, "p_date", "left").fillna(0, ["video_category_pairs"])
+        rows.join(seen, "p_date", "left").join(events, "p_date", "left").join(pair_counts, "p_date", "left")
+        .fillna(0, zero)
         .withColumn("events_owned_by_earlier_partition", F.col("events_in_partition") - F.col("staged_events"))
         .select("p_date", "raw_rows", "exact_duplicate_rows_dropped", "events_in_partition",
                 "events_owned_by_earlier_partition", "staged_events", "video_category_pairs",

@@ -85,6 +85,13 @@ def test_reports(spark):
     assert len(q2) == min(10, sum(r[6] >= cut and r[7] >= 1 for r in rows)) and all(r["max_session_seconds"] >= cut for r in q2)
 
 
+def test_sql_text_over_views(spark):
+    rows, df = sample(spark)
+    Q.register_views({"daily_user_features": df})
+    got = spark.sql("SELECT count(*) AS n, percentile_cont(0.5) WITHIN GROUP (ORDER BY n_events) AS m FROM daily_user_features").first()
+    assert (got["n"], got["m"]) == (200, statistics.median(r[2] for r in rows))
+
+
 def test_category_hours_count_each_category(spark):
     ev = spark.createDataFrame([(1, 10, 3600), (2, 10, 1800), (1, 11, 360)], "user_id bigint, pid bigint, watch_time bigint")
     bridge = spark.createDataFrame([(10, 1), (10, 2), (10, 3), (11, 2)], "pid bigint, category_id bigint")

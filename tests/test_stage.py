@@ -16,7 +16,8 @@ def staged(spark, rows, **kw):
 
 def test_two_day_counts(spark):
     raw = raw_df(spark, two_days())
-    stats = {r["p_date"].strftime("%Y%m%d"): r for r in stage.stage_statistics(raw).collect()}
+    stats = {r["p_date"].strftime("%Y%m%d"): r for r in stage.stage_statistics(
+        raw, stage.stage_events(raw), stage.stage_category_pairs(raw)).collect()}
     assert stats[D1]["exact_duplicate_rows_dropped"] == 1 and stats[D2]["exact_duplicate_rows_dropped"] == 0
     assert [stats[d]["staged_events"] for d in (D1, D2)] == [4, 2]
     assert [stats[d]["events_owned_by_earlier_partition"] for d in (D1, D2)] == [0, 1]
