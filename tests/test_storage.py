@@ -31,6 +31,12 @@ def test_quoted_csv_lands_verbatim(spark, tmp_path, bom, fmt):
         "1": 'line one, with comma\nline two "quoted"', "2": "", "3": "", "4": " x "}
 
 
+def test_good_rows_can_be_counted_straight_from_the_file(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("user_id,title,p_date\n" + ROWS)
+    rows = R.read_quoted_csv(spark, str(tmp_path / "in.csv"), ["user_id", "title", "p_date"])
+    assert R.good_rows(rows).count() == 4
+
+
 def test_broken_sources_become_status_rows(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "nodate.csv").write_text("a,b\n1,2\n")
