@@ -77,10 +77,10 @@ def stage_categories(lookup: DataFrame) -> DataFrame:
 
 def stage_transcripts(files: DataFrame) -> DataFrame:
     """``(file_name, value)`` rows to word counts; names other than digits + ``.txt`` are skipped."""
-    pid = F.regexp_extract("file_name", r"\A([0-9]+)\.txt\z", 1)
-    return files.where(pid != "").select(
-        pid.cast("bigint").alias("pid"), F.lit(True).alias("has_transcript"),
-        C.word_count("value").alias("transcript_word_count"))
+    # try_cast: the planner may evaluate a join's not-null test before the name filter
+    pid = F.regexp_extract("file_name", r"\A([0-9]+)\.txt\z", 1).try_cast("bigint")
+    return files.where(pid.isNotNull()).select(
+        pid.alias("pid"), F.lit(True).alias("has_transcript"), C.word_count("value").alias("transcript_word_count"))
 
 
 def no_transcripts(spark) -> DataFrame:
