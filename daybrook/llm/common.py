@@ -6,9 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybrook.session import materialize
+from daybrook.session import materialize, work_path
 
-__all__ = ["documents", "embeddings", "id_text", "materialize", "texts_of", "mix64", "shards_for"]
+__all__ = ["documents", "embeddings", "id_text", "materialize", "store", "texts_of", "mix64", "shards_for"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,13 @@ def id_text(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Like ``materialize``, for tables of packed bytes: compressed harder."""
+    path = work_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts_of(batch: pa.RecordBatch, name="text") -> list[bytes]:
     """UTF-8 bytes of a string column, without decoding."""
     column = batch.column(batch.schema.get_field_index(name))

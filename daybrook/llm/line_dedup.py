@@ -18,7 +18,6 @@ key is unique. Empty tables give empty results.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa

@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
-from daybrook.llm import line_dedup, quality
-from daybrook.llm.common import documents
+import os
+
+from daybrook.llm import ann, chunk_bpe, jaccard, licenses, line_dedup, packing, quality, secrets, suffix_dedup, token_files
+from daybrook.llm.common import documents, embeddings
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file: under ``$TOKENIZER_DIR``, or where the installed package keeps it."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+BYTES, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 QUERIES = {
+    "op1_secret_scan": lambda spark, sf: secrets.digest(documents(spark, sf)),
+    "op2_license_scan": lambda spark, sf: licenses.digest(documents(spark, sf)),
+    "op3_bpe_encode_decode": lambda spark, sf: chunk_bpe.digest(documents(spark, sf), vocabulary(BYTES)),
+    "op4_ngram_jaccard": lambda spark, sf: jaccard.assign(documents(spark, sf)),
     "op5_quality_rules": lambda spark, sf: quality.judge(documents(spark, sf)),
+    "op6_suffix_dedup": lambda spark, sf: suffix_dedup.digest(documents(spark, sf)),
+    "op7_nearest_neighbours": lambda spark, sf: ann.digest(embeddings(spark, sf)),
+    "op8_token_files": lambda spark, sf: token_files.digest(documents(spark, sf), vocabulary(WORDS)),
+    "op9_best_fit_packing": lambda spark, sf: packing.digest(documents(spark, sf), vocabulary(BYTES)),
     "op10_line_dedup": lambda spark, sf: line_dedup.digest(documents(spark, sf)),
 }
 
