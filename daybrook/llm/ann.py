@@ -12,7 +12,7 @@ own id may fall away). Leaves are divided into cells of about ``CELL_ROWS`` vect
 Scores are computed in double precision on the original vectors, by the same summation for every pair, so equal vectors
 tie exactly; ties go to the smaller id. Vectors that are null, zero or hold null or non-finite components take no part,
 nor do rows with a null id or of another dimension than most. Rows that repeat id and vector are one row; an id with
-several vectors is searched with each, and excludes all of them from its own answer. Empty tables give empty results.
+several vectors is searched with each, answers with its nearest, and excludes all of them from its own answer. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -103,14 +103,15 @@ class Tree:
             stack += [(kid, at[nearest == k]) for k, kid in enumerate(kids) if (nearest == k).any()]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
-        order, queue = [], [(0.0, 0)]
-        while queue and len(order) < most:
+    def visits(self, query: np.ndarray, most: int, held: dict[int, int] | None = None, least=0) -> list[int]:
+        """The first ``most`` leaves, best bin first; more where those hold fewer than ``least`` vectors (``held``: by leaf)."""
+        order, seen, queue = [], 0, [(0.0, 0)]
+        while queue and (len(order) < most or seen < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 order.append(self.leaf[node])
+                seen += (held or {}).get(self.leaf[node], 0)
                 continue
             distance = ((self.centroids[kids] - query) ** 2).sum(axis=1)
             for d, kid in zip(distance.tolist(), kids):
@@ -198,12 +199,13 @@ def search(table: DataFrame, is_query, k=K, recall=RECALL, id_col="vec_id", vect
     queries = materialize(asked.groupBy("embedding").agg(F.min("vec_id").alias("qid")), "queries")
     visits = calibrate(tree, stored, queries, k, recall)
 
-    cells = {r["leaf"]: -(-r["count"] // CELL_ROWS) for r in stored.groupBy("leaf").count().collect()}  # one row per leaf
+    held = {r["leaf"]: r["count"] for r in stored.groupBy("leaf").count().collect()}  # one row per leaf
+    cells = {leaf: -(-n // CELL_ROWS) for leaf, n in held.items()}
 
     def walk(batches):
         for batch in batches:
             pairs = [(i, leaf, cell) for i, q in enumerate(unit(matrix(batch.column(0))) if batch.num_rows else ())
-                     for leaf in tree.visits(q, visits) for cell in range(cells.get(leaf, 0))]
+                     for leaf in tree.visits(q, visits, held, 2 * k + 2) for cell in range(cells.get(leaf, 0))]
             at, leaf, cell = (np.array(x, np.int32) for x in (zip(*pairs) if pairs else ((), (), ())))
             yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(cell), batch.column(1).take(pa.array(at)),
                                               batch.column(0).take(pa.array(at))], names=["leaf", "cell", "qid", "query"])
@@ -224,14 +226,16 @@ def search(table: DataFrame, is_query, k=K, recall=RECALL, id_col="vec_id", vect
 
     found = (routed.groupBy("leaf", "cell").cogroup(cut.groupBy("leaf", "cell"))
              .applyInArrow(compare, "qid bigint, score double, ids array<bigint>"))
-    per_vector = found.select("qid", "score", F.explode("ids").alias("vec_id"))
+    per_vector = (found.select("qid", "score", F.explode("ids").alias("vec_id"))
+                  .groupBy("qid", "vec_id").agg(F.max("score").alias("score")))
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     best = per_vector.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1).drop("rank")
     answers = best.groupBy("qid").agg(F.collect_list(F.struct("score", "vec_id")).alias("answers"))
     each = asked.join(queries, "embedding").select("qid", F.col("vec_id").alias("query_id")).join(answers, "qid")
     flat = each.select("query_id", F.explode("answers").alias("a")).select("query_id", "a.score", "a.vec_id")
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (flat.where("vec_id <> query_id").distinct().withColumn("rank", F.row_number().over(last))
+    best_of = flat.where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return (best_of.withColumn("rank", F.row_number().over(last))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 

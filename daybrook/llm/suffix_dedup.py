@@ -369,6 +369,8 @@ def _between_contexts(texts, docs, counts, anchors) -> dict[int, list[tuple[int,
         return removed
     _, back, sizes = np.unique(anchors, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(sizes[back] > 1)  # contexts of one anchor can only meet each other
+    if not len(shared):
+        return removed
     shared = shared[np.argsort(back[shared], kind="stable")]
     edges = np.append(np.flatnonzero(np.append(True, np.diff(back[shared]) != 0)), len(shared))
     start = 0
