@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-CACHE_UNITS = 600_000  # per generation and worker
+CACHE_UNITS = 400_000  # per generation and worker, and as many words
 
 _UNIT = re.compile(rb"\s*\S+|\s+")
 _ODD_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _UNEVEN = re.compile(rb"[\t\r\x0b\x0c]|\s\s")
 # white space, Latin letters, plain punctuation: three pieces under any edition of the letter tables
-_SIMPLE = re.compile(rb"(\s?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]+)")
+_SIMPLE = re.compile(rb"(\s?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+# the byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on, in order
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _ENCODERS: dict = {}
 
 
@@ -38,7 +42,9 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.spaces = spaces
+        self.words: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -47,12 +53,14 @@ class UnitEncoder:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def split(self, text: bytes) -> list[bytes] | None:
-        """Units whose ids, joined, are the text's ids; None if the text must be encoded whole."""
+    def separable(self, text: bytes) -> bool:
+        """Is every white space of the text ASCII, or irrelevant?"""
+        return not self.spaces or text.isascii() or not _ODD_SPACE.search(text)
+
+    def split(self, text: bytes) -> list[bytes]:
+        """Units whose ids, joined, are the ids of a separable text."""
         if not self.spaces:
             return text.split()
-        if not text.isascii() and _ODD_SPACE.search(text):
-            return None
         if _UNEVEN.search(text) or text[-1:].isspace():
             return _UNIT.findall(text)
         # every white space is one blank or line end between two words
@@ -76,24 +84,41 @@ class UnitEncoder:
         return found
 
     def _learn(self, units: set[bytes]) -> None:
-        known = {u: self.old[u] for u in units if u in self.old}
-        self.young |= known
-        parts, whole = {}, []
-        for u in units - known.keys():
-            m = _SIMPLE.fullmatch(u) if self.spaces else None
-            if m:
-                parts[u] = (m[1] + m[2], m[3])
-            else:
+        if len(self.words) > CACHE_UNITS:
+            self.words = {}
+        whole, simple = [], {}
+        for u in units:
+            if u in self.old:
+                self.young[u] = self.old[u]
+                continue
+            m = _SIMPLE.fullmatch(u)
+            if m is None:
                 whole.append(u)
-        if parts:
-            missing = {p for pair in parts.values() for p in pair if p not in self.young}
-            whole += missing.difference(whole)
+                continue
+            lead, word, marks = m.groups()
+            if lead == b" " and self.spaces:
+                lead, word = b"", lead + word  # the blank belongs to the word
+            simple[u] = (lead if self.spaces else b"", word, marks)
+        pieces = {p for lead, _, marks in simple.values() for p in (lead, marks) if p and p not in self.words}
+        whole += pieces.difference(whole)
         if whole:
-            self.young |= zip(whole, self.library(whole))
-        for u, (word, mark) in parts.items():
-            self.young[u] = self.young[word] + self.young[mark]
+            found = dict(zip(whole, self.library(whole)))
+            self.words |= {p: found[p] for p in pieces}
+            self.young |= found
+        for u, (lead, word, marks) in simple.items():
+            ids = self._word(word)
+            self.young[u] = self.words.get(lead, b"") + ids + self.words.get(marks, b"") if lead or marks else ids
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of Latin letters, perhaps after a blank: one piece, so the library's model alone decides."""
+        if not self.spaces:
+            word = word.decode().lower().encode()
+        ids = self.words.get(word)
+        if ids is None:
+            tokens = self.model.tokenize(word.decode("latin-1").translate(BYTE_CHARS))
+            ids = self.words[word] = array("I", [t.id for t in tokens]).tobytes()
+        return ids
 
     def encode(self, text: bytes) -> bytes:
         """Ids of the whole text as little-endian 32-bit words."""
-        units = self.split(text)
-        return self.library([text])[0] if units is None else b"".join(self.ids(units))
+        return b"".join(self.ids(self.split(text))) if self.separable(text) else self.library([text])[0]

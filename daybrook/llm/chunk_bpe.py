@@ -21,14 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from daybrook.llm.bpe_units import UnitEncoder, encoder
+from daybrook.llm.bpe_units import BYTE_CHARS, UnitEncoder, encoder
 from daybrook.llm.common import id_text, mix64, texts_of
 
 WINDOW = 16          # bytes in the rolling hash
 MASK_BITS = 10       # a border about every 1024 bytes
 MIN_CHUNK = 64       # bytes
 EDGE = 3             # units kept apart at each end of a chunk, for the joins
-CACHE_CHUNKS = 60_000
+CACHE_CHUNKS = 6_000   # per generation and worker, some kilobytes each
 
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -97,7 +97,7 @@ class ChunkEncoder:
 
     def encode(self, text: bytes) -> bytes:
         cuts = borders(text)
-        if not cuts or self.units.split(text) is None:
+        if not cuts or not self.units.separable(text):
             return self.units.encode(text)
         out: list[bytes] = []
         tail_units: list[bytes] = []  # of the last chunk, not yet written
@@ -143,10 +143,7 @@ class Decoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        # the alphabet: printable bytes stand for themselves, the others for the code points from 256 on, in order
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+        byte_of = {c: b for b, c in BYTE_CHARS.items()}
         words = {i: w for w, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         self.table = [b""] * (max(words) + 1)
         for i, w in words.items():
