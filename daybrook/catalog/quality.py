@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from daybrook.catalog import inputs as I
 from daybrook.catalog.entry import ORACLES, query
 from daybrook.operators import checks as K, compare
-from daybrook.plans import constraints, curate, gates, stage
+from daybrook.plans import constraints, curate, gates, ingest, stage
 from daybrook.schemas import (
     ACCEPTED_VALUES, BOOL_COLUMNS, CURATED_EVENT_COLUMNS, FEATURE_COLUMNS, INT_COLUMNS, RAW_COLUMNS,
     USER_ATTRIBUTES, USER_COLUMNS, VIDEO_COLUMNS,
 )
-from daybrook.session import materialize
+from daybrook.session import materialize, work_path
+from daybrook.sources import readers as R, sinks as W
 from daybrook.sources.readers import PART
 
 _REPORT = ["stage", "p_date", "name", "check_type", "severity", "passed", "violations"]
@@ -18,7 +19,7 @@ _REPORT = ["stage", "p_date", "name", "check_type", "severity", "passed", "viola
 
 # ---- raw ------------------------------------------------------------------------------------
 
-def _sql_raw_gate(rows, key, lookup, more=""):
+def _sql_raw_gate(rows, key, lookup, transcripts="transcripts"):
     """DuckDB statement of the raw gate; ``rows`` is a named sub-query with the 28 columns and ``key`` the date."""
     cnt = {f"{c}": f"CASE WHEN trim({c}, ' \t\n') = '' THEN 1 ELSE 0 END" for c in [f'"{x}"' for x in RAW_COLUMNS]}
     blank = " + ".join(cnt.values())
@@ -61,7 +62,7 @@ def _sql_raw_gate(rows, key, lookup, more=""):
                f"FROM {rows}) GROUP BY 1")
     out.append(f"SELECT {key}, 'category_lookup_unique_ids', 'uniqueness', 'WARN', (SELECT count(*) FROM (SELECT category_id "
                f"FROM {lookup} GROUP BY 1 HAVING count(*) > 1)), NULL, false FROM {rows} GROUP BY 1")
-    out.append(f"SELECT {key}, 'transcript_files_present', 'coverage', 'ERROR', CASE WHEN (SELECT count(*) FROM transcripts) > 0 "
+    out.append(f"SELECT {key}, 'transcript_files_present', 'coverage', 'ERROR', CASE WHEN (SELECT count(*) FROM {transcripts}) > 0 "
                f"THEN 0 ELSE 1 END, NULL, false FROM {rows} GROUP BY 1")
     union = "\nUNION ALL ".join(out)
     return f"""
@@ -70,8 +71,12 @@ FROM ({union}) g JOIN (SELECT {key} AS d, sum({blank}) + sum({bad}) AS dirty FRO
 WHERE always OR dirty = 0"""
 
 
-def _raw_gate(spark, sf, raw):
-    return gates.raw_gate(raw, I.raw_categories(spark, sf), I.transcripts(spark, sf)).select(*_REPORT)
+_NO_TRANSCRIPTS = "(SELECT * FROM transcripts WHERE false)"
+
+
+def _raw_gate(spark, sf, raw, transcripts=None):
+    files = I.transcripts(spark, sf) if transcripts is None else transcripts
+    return gates.raw_gate(raw, I.raw_categories(spark, sf), files).select(*_REPORT)
 
 
 @query("gate_raw", _sql_raw_gate("raw", "p_date", "cats"))
@@ -79,9 +84,41 @@ def gate_raw(spark, sf):
     return _raw_gate(spark, sf, I.landed_raw(spark, sf).withColumn(PART, F.col("p_date")))
 
 
-@query("gate_raw_defects", _sql_raw_gate("defects", "part_date", "cats"))
+@query("gate_raw_defects", _sql_raw_gate("defects", "part_date", "cats", _NO_TRANSCRIPTS))
 def gate_raw_defects(spark, sf):
-    return _raw_gate(spark, sf, materialize(I.raw_with_defects(spark, sf), "raw"))
+    """Spoiled rows, and no transcript landed."""
+    return _raw_gate(spark, sf, materialize(I.raw_with_defects(spark, sf), "raw"), I.transcripts(spark, sf).where("false"))
+
+
+_DATES = "(SELECT DISTINCT p_date FROM raw UNION SELECT '19990101')"
+
+
+@query("gate_raw_schema", f"""
+SELECT p_date, 'schema_columns' AS name, CAST(p_date IN ('19960101', '19970101') AS BIGINT) AS violations,
+       CASE p_date WHEN '19960101' THEN 'missing [hate], unknown []' WHEN '19970101' THEN 'missing [], unknown [surprise]'
+       ELSE 'all 28 columns' END AS detail FROM {_DATES} d
+UNION ALL SELECT p_date, 'partition_not_empty', CAST(p_date = '19990101' AS BIGINT), CASE p_date WHEN '19990101' THEN '0'
+       ELSE CAST((SELECT count(*) FROM raw r WHERE r.p_date = d.p_date) AS VARCHAR) END || ' rows' FROM {_DATES} d
+UNION ALL SELECT p_date, name, 0, '{{}}' FROM {_DATES} d, (SELECT unnest(['required_fields_not_null', 'column_datatypes']) AS name)
+WHERE p_date NOT IN ('19960101', '19990101')""")
+def gate_raw_schema(spark, sf):
+    """Files with a missing, an extra and reordered columns, and a date without rows, from delivered CSV to the gate."""
+    raw, root = I.landed_raw(spark, sf), work_path(spark, "delivered")
+    year = F.substring("p_date", 1, 4)
+    shapes = {
+        "plain": raw.where(~year.isin("1996", "1997", "1998", "1999")),
+        "missing": raw.where(year == "1996").drop("hate"),
+        "extra": raw.where(year == "1997").withColumn("surprise", F.lit("x")),
+        "reordered": raw.where(year == "1998").select(*reversed(RAW_COLUMNS)),
+    }
+    for name, rows in shapes.items():
+        rows.write.options(**R.CSV_WRITE).csv(f"{root}/source/{name}")
+    landed = f"{root}/raw"
+    ingest.land_interactions(spark, f"{root}/source/*/*.csv", landed)
+    W.replace_partition(raw.where("false").withColumn(PART, F.col("p_date")), landed, PART, "19990101")
+    rep = gates.raw_gate(R.read_raw_as_delivered(spark, landed), I.raw_categories(spark, sf), I.transcripts(spark, sf),
+                         dates=R.partition_dates_df(spark, landed))
+    return rep.where("seq <= 4").select("p_date", "name", "violations", "detail")
 
 
 @query("unexpected_values_top5", """
@@ -119,6 +156,8 @@ def users_inconsistent(spark, sf):
 _SPOILED_STAGED = """
 SELECT * REPLACE (CASE WHEN p_date = DATE '1995-01-01' THEN is_rewatch_flagged AND NOT click ELSE is_rewatch_flagged END AS is_rewatch_flagged,
                   CASE WHEN p_date = DATE '1995-01-01' AND fre_city_level = 'unknown' THEN '五线城市' ELSE fre_city_level END AS fre_city_level,
+                  CASE WHEN p_date = DATE '1995-01-01' AND fre_community_type = 'unknown' THEN '镇区' ELSE fre_community_type END AS fre_community_type,
+                  CASE WHEN p_date = DATE '1999-01-01' AND hate THEN NULL ELSE pid END AS pid,
                   CASE WHEN p_date = DATE '1996-01-01' AND click THEN 0 ELSE tag_count END AS tag_count,
                   CASE WHEN p_date = DATE '1996-01-01' AND hate THEN -1.0 ELSE watch_ratio END AS watch_ratio)
 FROM staged WHERE NOT (p_date = DATE '1997-01-01' AND follow)
@@ -133,6 +172,9 @@ def spoil_staged(staged):
                     .otherwise(F.col("is_rewatch_flagged")))
         .withColumn("fre_city_level", F.when((d == day(1995)) & (F.col("fre_city_level") == "unknown"), "五线城市")
                     .otherwise(F.col("fre_city_level")))
+        .withColumn("fre_community_type", F.when((d == day(1995)) & (F.col("fre_community_type") == "unknown"), "镇区")
+                    .otherwise(F.col("fre_community_type")))
+        .withColumn("pid", F.when(~((d == day(1999)) & F.col("hate")), F.col("pid")))
         .withColumn("tag_count", F.when((d == day(1996)) & F.col("click"), 0).otherwise(F.col("tag_count")))
         .withColumn("watch_ratio", F.when((d == day(1996)) & F.col("hate"), -1.0).otherwise(F.col("watch_ratio")))
     )
@@ -208,7 +250,12 @@ ORACLES["gate_staged_defects"] = _with_spoiled(ORACLES["gate_staged_defects"])
 
 # ---- curated --------------------------------------------------------------------------------
 
-def _sql_curated_gate(feat, users, ev="ev", staged="ev"):
+_EV_VIDEOS = """(SELECT v.*, t.pid IS NOT NULL AS has_transcript, t.transcript_word_count FROM (
+  SELECT pid, author_id, title, duration FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY title, author_id, duration) AS rn FROM ev)
+  WHERE rn = 1) v LEFT JOIN dim_transcripts t ON v.pid = t.pid)"""
+
+
+def _sql_curated_gate(feat, users, ev="ev", staged="ev", videos=_EV_VIDEOS, cats="(SELECT n_nationkey AS category_id FROM nation)"):
     def f(name, kind, expr):
         return f"SELECT feature_date AS d, '{name}' AS name, '{kind}' AS check_type, {expr} AS v FROM {feat} GROUP BY 1"
 
@@ -224,9 +271,12 @@ def _sql_curated_gate(feat, users, ev="ev", staged="ev"):
         f"FROM (SELECT feature_date AS d, sum(n_events) AS n FROM {feat} GROUP BY 1) a JOIN (SELECT p_date AS d, count(*) AS n FROM {ev} GROUP BY 1) b ON a.d = b.d "
         f"JOIN (SELECT p_date AS d, count(*) AS n FROM {staged} GROUP BY 1) c ON a.d = c.d",
         f("features_users_exist", "referential_integrity", f"count(DISTINCT user_id) FILTER (WHERE user_id NOT IN (SELECT user_id FROM {users}))"),
-        f"SELECT p_date, 'events_users_videos_exist', 'referential_integrity', count(DISTINCT user_id) FILTER (WHERE user_id NOT IN (SELECT user_id FROM {users})) FROM {ev} GROUP BY 1",
-        g("video_categories_exist", "referential_integrity", "(SELECT count(DISTINCT category_id) FROM bridge WHERE category_id NOT IN (SELECT n_nationkey FROM nation))"),
-        g("transcript_fields_consistent", "business_rule", "0"),
+        f"SELECT p_date, 'events_users_videos_exist', 'referential_integrity', count(DISTINCT user_id) FILTER (WHERE user_id NOT IN (SELECT user_id FROM {users})) "
+        f"+ count(DISTINCT pid) FILTER (WHERE pid NOT IN (SELECT pid FROM {videos})) FROM {ev} GROUP BY 1",
+        g("video_categories_exist", "referential_integrity", f"(SELECT count(DISTINCT category_id) FROM bridge WHERE category_id NOT IN (SELECT category_id FROM {cats})) "
+          f"+ (SELECT count(DISTINCT pid) FROM bridge WHERE pid NOT IN (SELECT pid FROM {videos}))"),
+        g("transcript_fields_consistent", "business_rule", f"(SELECT count(*) FROM {videos} WHERE (NOT has_transcript AND transcript_word_count IS NOT NULL) "
+          "OR (has_transcript AND NOT coalesce(transcript_word_count >= 0, false)))"),
     ]
     return f"""
 SELECT 'curated' AS stage, strftime(d, '%Y%m%d') AS p_date, name, check_type, 'ERROR' AS severity, v = 0 AS passed, CAST(v AS BIGINT) AS violations
@@ -262,11 +312,18 @@ _SPOILED_FEAT = """(SELECT * REPLACE (
   CASE WHEN feature_date = DATE '2024-01-03' THEN n_events + 5 ELSE n_events END AS n_events,
   CASE WHEN feature_date = DATE '2024-01-04' THEN n_events + 1 ELSE hate_events END AS hate_events,
   CASE WHEN feature_date = DATE '2024-01-05' THEN 0 ELSE n_sessions END AS n_sessions,
-  CASE WHEN feature_date = DATE '2024-01-06' THEN -0.5 ELSE late_night_share END AS late_night_share)
+  CASE WHEN feature_date = DATE '2024-01-06' THEN -0.5 ELSE late_night_share END AS late_night_share,
+  CASE WHEN feature_date = DATE '2024-01-08' THEN 2.0 ELSE rewatch_rate END AS rewatch_rate)
 FROM feat UNION ALL SELECT * FROM feat WHERE feature_date = DATE '2024-01-07')"""
 
 
-@query("gate_curated_defects", _sql_curated_gate(_SPOILED_FEAT, "(SELECT * FROM users_typed WHERE fre_community_type <> '镇区')"))
+_SPOILED_VIDEOS = f"""(SELECT * REPLACE (CASE WHEN pid % 10 = 4 THEN -1 ELSE transcript_word_count END AS transcript_word_count)
+FROM {_EV_VIDEOS} WHERE pid % 10 <> 3)"""
+
+
+@query("gate_curated_defects", _sql_curated_gate(
+    _SPOILED_FEAT, "(SELECT * FROM users_typed WHERE fre_community_type <> '镇区')", videos=_SPOILED_VIDEOS,
+    cats="(SELECT n_nationkey AS category_id FROM nation WHERE n_nationkey <> 5)"))
 def gate_curated_defects(spark, sf):
     t = curated_tables(spark, sf)
     f, d = t["daily_user_features"], F.col("feature_date")
@@ -281,8 +338,12 @@ def gate_curated_defects(spark, sf):
         .withColumn("n_events", on("2024-01-03", F.col("n_events") + 5, "n_events"))
         .withColumn("n_sessions", on("2024-01-05", F.lit(0), "n_sessions"))
         .withColumn("late_night_share", on("2024-01-06", F.lit(-0.5), "late_night_share"))
+        .withColumn("rewatch_rate", on("2024-01-08", F.lit(2.0), "rewatch_rate"))
         .unionByName(again)
     )
+    t["videos"] = t["videos"].where("pid % 10 <> 3").withColumn(
+        "transcript_word_count", F.when(F.col("pid") % 10 == 4, -1).otherwise(F.col("transcript_word_count")))
+    t["categories"] = t["categories"].where("category_id <> 5")
     t["users"] = t["users"].where("fre_community_type <> '镇区'")
     return _curated_gate(t, I.daily_events(spark, sf))
 
@@ -291,7 +352,7 @@ def gate_curated_defects(spark, sf):
 SELECT stage, p_date, count(*) AS checks_run, count(*) FILTER (WHERE passed) AS passed,
        count(*) FILTER (WHERE NOT passed AND severity = 'WARN') AS warnings,
        count(*) FILTER (WHERE NOT passed AND severity = 'ERROR') AS errors
-FROM ({_sql_raw_gate("defects", "part_date", "cats")}) GROUP BY ALL""")
+FROM ({_sql_raw_gate("defects", "part_date", "cats", _NO_TRANSCRIPTS)}) GROUP BY ALL""")
 def gate_summary(spark, sf):
     return K.summary(gate_raw_defects(spark, sf))
 
@@ -316,9 +377,6 @@ def _sql_constraints(tables):
     return f"SELECT table_name, kind, name, CAST(violations AS BIGINT) AS violations FROM ({' UNION ALL '.join(out)})"
 
 
-_EV_VIDEOS = """(SELECT v.*, t.pid IS NOT NULL AS has_transcript, t.transcript_word_count FROM (
-  SELECT pid, author_id, title, duration FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY title, author_id, duration) AS rn FROM ev)
-  WHERE rn = 1) v LEFT JOIN dim_transcripts t ON v.pid = t.pid)"""
 _CAT_COLUMNS = ["category_level", "category_id", "category_name_cn", "parent_id", "root_id", "category_name_en", "en_label_ambiguous"]
 _TABLES_SQL = {
     "interactions_curated": ("ev", CURATED_EVENT_COLUMNS),

@@ -7,7 +7,7 @@ from daybrook.catalog.entry import query
 from daybrook.functions import columns as C
 from daybrook.plans import curate, ingest, layout, stage
 from daybrook.schemas import CURATED_EVENT_COLUMNS
-from daybrook.session import work_path
+from daybrook.session import materialize, work_path
 from daybrook.sources import readers as R, sinks as W
 
 DAY = "2024-01-15"
@@ -191,17 +191,29 @@ def format_roundtrip_fidelity(spark, sf):
     return layout.format_fidelity(df, layout.write_all_formats(df, work_path(spark, "formats")))
 
 
-@query("format_inferred_fidelity")
+@query("format_inferred_fidelity", f"""
+SELECT f.format, c.column_name, CASE
+    WHEN f.format IN ('csv', 'csv_gzip') AND c.column_name IN ('user_id', 'pid', 'exposed_time', 'p_hour', 'author_fans_count', 'watch_time', 'tag_count')
+      OR f.format IN ('json_array', 'json_lines') AND c.column_name = 'p_date' THEN 'type_changed' ELSE 'exact' END AS status,
+    CAST(NULL AS DOUBLE) AS max_abs_diff
+FROM (VALUES {', '.join(f"('{f}')" for f in _ALL)}) f(format),
+     (VALUES {', '.join(f"('{c}')" for c in CURATED_EVENT_COLUMNS)}) c(column_name)
+WHERE (SELECT max(exposed_time) FROM ev) < 2147483648""")
 def format_inferred_fidelity(spark, sf):
     """The same audit when each reader infers types: text formats change some of them."""
     df = curate.curated_events(I.daily_events(spark, sf))
     return layout.format_fidelity(df, layout.write_all_formats(df, work_path(spark, "formats")), infer=True)
 
 
-@query("format_sizes")
+@query("format_sizes", f"""
+SELECT f.format, true AS has_files, f.format <> 'json_array' AS below_json_array
+FROM (VALUES {', '.join(f"('{f}')" for f in _ALL)}) f(format) WHERE (SELECT count(*) FROM ev) > 0""")
 def format_sizes(spark, sf):
+    """What holds of the sizes whatever the writer's version: every format has files, none is larger than JSON arrays."""
     df = curate.curated_events(I.daily_events(spark, sf))
-    return layout.format_sizes(spark, layout.write_all_formats(df, work_path(spark, "formats")))
+    sizes = materialize(layout.format_sizes(spark, layout.write_all_formats(df, work_path(spark, "formats"))), "sizes")
+    array = sizes.where("format = 'json_array'").select("bytes").scalar()
+    return sizes.select("format", (F.col("files") > 0).alias("has_files"), (F.col("bytes") < array).alias("below_json_array"))
 
 
 @query("partition_stats_skew", """
@@ -213,10 +225,14 @@ def partition_stats_skew(spark, sf):
     return layout.partition_stats(spark, root, schema).drop("files", "bytes")
 
 
-@query("partition_stats_bytes")
+@query("partition_stats_bytes", "SELECT p_date, count(*) AS n_rows, true AS has_files, true AS adds_up FROM ev GROUP BY 1")
 def partition_stats_bytes(spark, sf):
+    """Rows per partition; every partition has files, and their bytes add up to the table's."""
     root, schema = _curated_root(spark, sf)
-    return layout.partition_stats(spark, root, schema).select("p_date", "n_rows", "files", "bytes")
+    total = layout.stored_bytes(spark, root).select("bytes").scalar()
+    stats = layout.partition_stats(spark, root, schema)
+    whole = stats.agg(F.sum("bytes").alias("b")).select("b").scalar()
+    return stats.select("p_date", "n_rows", (F.col("files") > 0).alias("has_files"), (whole == total).alias("adds_up"))
 
 
 @query("dims_overwrite", "SELECT * FROM dim_users")

@@ -177,17 +177,47 @@ _STAGED_SHORT = "SELECT user_id, pid, exposed_time, p_date, title, author_id, wa
 _SHORT = [*EVENT_KEY, "p_date", "title", "author_id", "watch_time", "tag_count"]
 
 
-@query("late_partition_repair", _STAGED_SHORT)
-def late_partition_repair(spark, sf):
-    """Every date but 1997 is staged, 1997 lands late, the dates it changes are restaged: equals the range job."""
+def _land(spark, sf, layers, rows):
+    W.fanout_by_date(rows, f"{layers.raw}/interactions")
+    W.overwrite_table(I.raw_categories(spark, sf), f"{layers.raw}/categories")
+    W.overwrite_table(I.transcripts(spark, sf), f"{layers.raw}/transcripts")
+
+
+def _late_1997(spark, sf):
+    """Every date but 1997 goes through every layer, then 1997 lands."""
     layers = _layers(spark, "late")
-    W.fanout_by_date(I.raw_interactions(spark, sf), f"{layers.raw}/interactions")
-    on_time = R.read_raw(spark, f"{layers.raw}/interactions").where("part_date <> '19970101'").select(*RAW_COLUMNS)
-    W.write_partitions(stage.stage_events(on_time), layers.staged("events"))
-    staged = spark.read.parquet(layers.staged("events"))
-    W.write_partitions(staged.select(*EVENT_KEY, "p_date"), layers.staged("event_owner"))
+    raw = I.landed_raw(spark, sf)
+    _land(spark, sf, layers, raw.where("p_date <> '19970101'"))
+    daily.run_range(spark, layers)
+    W.fanout_by_date(raw.where("p_date = '19970101'"), f"{layers.raw}/interactions")
     late_data.repair(spark, layers, "19970101")
-    return spark.read.parquet(layers.staged("events")).select(*_SHORT)
+    return layers
+
+
+@query("late_partition_repair", _STAGED_SHORT)
+def late_partition_repair(spark, sf):
+    """The staged rows after a late date equal the range job's."""
+    return spark.read.parquet(_late_1997(spark, sf).staged("events")).select(*_SHORT)
+
+
+@query("late_date_end_to_end", "SELECT * FROM staged_feat")
+def late_date_end_to_end(spark, sf):
+    """The features after a late date equal those of the range job over all dates."""
+    return daily.curated_tables(spark, _late_1997(spark, sf))["daily_user_features"]
+
+
+@query("emptied_date", """
+SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, CAST(pid AS BIGINT) AS pid, CAST(exposed_time AS BIGINT) AS exposed_time,
+       DATE '1997-01-01' AS p_date FROM raw WHERE p_date = '19980101'""")
+def emptied_date(spark, sf):
+    """All events of 1998 turn out to belong to the late 1997: the facts of 1998 become empty, nothing stays behind."""
+    layers = _layers(spark, "emptied")
+    day = materialize(I.raw_interactions(spark, sf).where("p_date = '19980101'"), "day")
+    _land(spark, sf, layers, day)
+    daily.run_date(spark, layers, "19980101")
+    W.fanout_by_date(day.withColumn("p_date", F.lit("19970101")), f"{layers.raw}/interactions")
+    daily.run_date(spark, layers, "19970101")
+    return daily.curated_tables(spark, layers)["interactions_curated"].select(*EVENT_KEY, "p_date")
 
 
 @query("backfill_equals_loop", _STAGED_SHORT)

@@ -6,7 +6,7 @@ to distinct keys or per-key minima before they meet anything, so a hot key never
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from daybrook.functions import columns as C
 from daybrook.operators import checks as K, compare, dedup, events as E
@@ -49,13 +49,21 @@ def accepted_value_violations(raw: DataFrame) -> DataFrame:
 
 def top_unexpected_values(raw: DataFrame, k=5) -> DataFrame:
     """The ``k`` most frequent unexpected values per date and column."""
-    from pyspark.sql import Window
     w = Window.partitionBy(PART, "column_name").orderBy(F.desc("n"), "value")
     return (
         accepted_value_violations(raw).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     )
 
 
+def _value_lists(raw: DataFrame) -> DataFrame:
+    """Per date one JSON text for each checked column: its most frequent unexpected values and their counts."""
+    listed = top_unexpected_values(raw).groupBy(PART, "column_name").agg(
+        F.to_json(F.map_from_entries(F.transform(
+            F.sort_array(F.collect_list(F.struct("rank", "value", "n"))), lambda x: F.struct(x["value"], x["n"])))).alias("text"))
+    return listed.groupBy(PART).agg(
+        *[F.max(F.when(F.col("column_name") == c, F.col("text"))).alias(f"top_{c}") for c in ACCEPTED_VALUES])
+
+
 def orphan_category_ids(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Category ids of each date that the lookup does not know."""
     ids = raw.select(PART, F.col("category_id").try_cast("bigint").alias("category_id")).distinct()
@@ -68,6 +76,14 @@ def first_orphans(raw: DataFrame, lookup: DataFrame, k=10) -> DataFrame:
     return orphan_category_ids(raw, lookup).select("category_id").distinct().orderBy("category_id").limit(k)
 
 
+def orphans_per_date(raw: DataFrame, lookup: DataFrame, k=10) -> DataFrame:
+    """Per date: how many category ids the lookup does not know, and the ``k`` smallest of them."""
+    w = Window.partitionBy(PART).orderBy("category_id")
+    ranked = orphan_category_ids(raw, lookup).withColumn("rank", F.row_number().over(w))
+    return ranked.groupBy(PART).agg(
+        _n().alias("orphan_ids"), F.sort_array(F.collect_list(F.when(F.col("rank") <= k, F.col("category_id")))).alias("first_orphans"))
+
+
 def inconsistent_users(raw: DataFrame) -> DataFrame:
     """Users with more than one combination of attributes inside one date.
 
@@ -77,18 +93,32 @@ def inconsistent_users(raw: DataFrame) -> DataFrame:
     return seen.groupBy(PART, "user_id").agg(_n().alias("n")).where("n > 1").select(PART, "user_id")
 
 
-def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """19 checks per date on text rows (28 columns + ``part_date``)."""
-    have = [c for c in raw.columns if c != PART]
-    missing = [c for c in RAW_COLUMNS if c not in have]
-    extra = [c for c in have if c not in RAW_COLUMNS]
-    schema_check = Check(
-        "schema_columns", "schema", F.lit(len(missing) + len(extra)),
-        F.lit(f"missing={missing} extra={extra}" if missing or extra else f"{len(have)} expected columns present"))
-    not_empty = Check("partition_not_empty", "row_count", F.when(F.col("n_rows") > 0, 0).otherwise(1),
-                      F.concat(F.col("n_rows").cast("string"), F.lit(" rows")))
-    if missing:
-        return K.report(raw.groupBy(PART).agg(_n().alias("n_rows")), "raw", [schema_check, not_empty], PART)
+def _columns_present(raw: DataFrame):
+    """Per-date counters ``miss_<column>`` and ``extra_<column>``: 1 if the date lacks the column, or has one too many.
+
+    A landed cell is null only where the row's file had no such column (``readers.read_delivered_csv``).
+    """
+    extra = [c for c in raw.columns if c not in RAW_COLUMNS and c != PART]
+    have = set(raw.columns)
+    miss = [(F.max(F.col(c).isNull().cast("int")) if c in have else F.lit(1)).alias(f"miss_{c}") for c in RAW_COLUMNS]
+    return extra, miss + [F.max(F.col(c).isNotNull().cast("int")).alias(f"extra_{c}") for c in extra]
+
+
+def _names_of(prefix, names):
+    """Sorted names whose counter is set, as ``[a, b]``."""
+    set_names = F.array_compact(F.array(*[F.when(F.col(f"{prefix}{n}") > 0, n) for n in sorted(names)])) if names else F.array()
+    return F.concat(F.lit("["), F.array_join(set_names.cast("array<string>"), ", "), F.lit("]"))
+
+
+def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params: Params = DEFAULTS, dates=None) -> DataFrame:
+    """19 checks per date on text rows as delivered, plus ``part_date``.
+
+    ``dates``: expected values of ``part_date``; one without rows fails ``partition_not_empty``. A date that is empty or
+    lacks a column ends after the two checks of its shape, one with blank or untyped cells after the two of its cells.
+    """
+    extra, shape = _columns_present(raw)
+    absent = [c for c in RAW_COLUMNS if c not in raw.columns]
+    raw = raw.select("*", *[F.lit(None).cast("string").alias(c) for c in absent])
 
     def num(c):
         return F.col(c).try_cast("bigint")
@@ -104,7 +134,7 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
     typed = INT_COLUMNS + ["duration"] + BOOL_COLUMNS
     accepted = {f"{c}_accepted_values": ~F.col(c).isin(ok) for c, ok in ACCEPTED_VALUES.items()}
     counters = raw.groupBy(PART).agg(
-        _n().alias("n_rows"),
+        _n().alias("n_rows"), *shape,
         *[C.count_if(C.is_blank(c)).alias(f"blank_{c}") for c in RAW_COLUMNS],
         *[C.count_if(~C.is_int_text(c)).alias(f"type_{c}") for c in INT_COLUMNS],
         C.count_if(~C.is_number_text("duration")).alias("type_duration"),
@@ -112,38 +142,55 @@ def raw_gate(raw: DataFrame, lookup: DataFrame, transcripts: DataFrame, params:
         *[C.count_if(cond).alias(n) for n, cond in {**ranges, **accepted}.items()],
         C.count_if(F.col("p_date") != F.col(PART)).alias("off_date"),
     )
+    if dates is not None:
+        counters = dates.select(F.col(dates.columns[0]).cast("string").alias(PART)).distinct().join(counters, PART, "left").fillna(0)
     dups = dedup.duplicate_stats(raw.select(*RAW_COLUMNS, PART), [PART]).select(
         PART, "exact_duplicate_rows", "exact_duplicate_share")
     users = inconsistent_users(raw).groupBy(PART).agg(_n().alias("bad_users"))
-    orphans = orphan_category_ids(raw, lookup).groupBy(PART).agg(_n().alias("orphan_ids"))
-    repeated = dedup.duplicate_keys(lookup, ["category_id"]).agg(_n().alias("n"))
+    repeated = dedup.duplicate_keys(lookup, ["category_id"]).select(F.col("category_id").try_cast("bigint").alias("id"))
+    ids = F.slice(F.sort_array(F.collect_list("id")), 1, 10)
     rows = (
-        counters.join(dups, PART, "left").join(users, PART, "left").join(orphans, PART, "left")
-        .withColumn("lookup_repeated", _scalar(repeated, "n"))
+        counters.join(dups, PART, "left").join(users, PART, "left").join(orphans_per_date(raw, lookup), PART, "left")
+        .join(_value_lists(raw), PART, "left")
+        .withColumn("repeated", _scalar(repeated.agg(F.struct(_n().alias("n"), ids.alias("ids")).alias("r")), "r"))
+        .withColumn("lookup_repeated", F.col("repeated.n"))
         .withColumn("transcripts", _scalar(transcripts.agg(_n().alias("n")), "n"))
         .fillna(0, ["bad_users", "orphan_ids"])
     )
+    missing, surplus = _total("miss_", RAW_COLUMNS), _total("extra_", extra) if extra else F.lit(0)
     blank, bad_type = _total("blank_", RAW_COLUMNS), _total("type_", typed)
-    clean = (blank == 0) & (bad_type == 0)
+    shaped = (missing == 0) & (F.col("n_rows") > 0)
+    clean = shaped & (blank == 0) & (bad_type == 0)
 
-    def counted(name, kind, column, text, severity=K.ERROR, passed=None):
-        return Check(name, kind, F.col(column), F.concat(F.col(column).cast("string"), F.lit(text)), severity,
-                     passed, clean)
+    def listed(column):
+        return F.coalesce(F.concat(F.lit("["), F.array_join(F.col(column).cast("array<string>"), ", "), F.lit("]")), F.lit("[]"))
 
+    def counted(name, kind, column, text, severity=K.ERROR, passed=None, more=None):
+        detail = F.concat(F.col(column).cast("string"), F.lit(text))
+        return Check(name, kind, F.col(column), detail if more is None else F.concat(detail, F.lit(": "), more), severity, passed, clean)
+
+    schema_check = Check(
+        "schema_columns", "schema", missing + surplus,
+        F.when(missing + surplus == 0, F.lit(f"all {len(RAW_COLUMNS)} columns")).otherwise(
+            F.concat(F.lit("missing "), _names_of("miss_", RAW_COLUMNS), F.lit(", unknown "), _names_of("extra_", extra))))
+    not_empty = Check("partition_not_empty", "row_count", F.when(F.col("n_rows") > 0, 0).otherwise(1),
+                      F.concat(F.col("n_rows").cast("string"), F.lit(" rows")))
     specs = [
         schema_check, not_empty,
-        Check("required_fields_not_null", "nullability", blank, _named_counts("blank_", RAW_COLUMNS)),
-        Check("column_datatypes", "datatype", bad_type, _named_counts("type_", typed)),
-        *[counted(n, "range", n, " violating rows") for n in ranges],
-        *[counted(n, "accepted_values", n, " rows with unexpected values") for n in accepted],
-        counted("p_date_matches_partition", "consistency", "off_date", " rows outside the partition"),
-        counted("user_attributes_consistent", "consistency", "bad_users", " users with conflicting attributes"),
-        counted("exact_duplicate_share", "duplicates", "exact_duplicate_rows", " exact duplicate rows", K.WARN,
+        Check("required_fields_not_null", "nullability", blank, _named_counts("blank_", RAW_COLUMNS), when=shaped),
+        Check("column_datatypes", "datatype", bad_type, _named_counts("type_", typed), when=shaped),
+        *[counted(n, "range", n, " rows out of range") for n in ranges],
+        *[counted(f"{c}_accepted_values", "accepted_values", f"{c}_accepted_values", " rows, most frequent",
+                  more=F.coalesce(f"top_{c}", F.lit("{}"))) for c in ACCEPTED_VALUES],
+        counted("p_date_matches_partition", "consistency", "off_date", " rows of another date"),
+        counted("user_attributes_consistent", "consistency", "bad_users", " users differ in an attribute"),
+        counted("exact_duplicate_share", "duplicates", "exact_duplicate_rows", " copies of rows", K.WARN,
                 F.col("exact_duplicate_share") <= params.duplicate_share_warn),
-        counted("category_id_in_lookup", "referential_integrity", "orphan_ids", " category ids missing from lookup"),
-        counted("category_lookup_unique_ids", "uniqueness", "lookup_repeated", " category ids appear twice", K.WARN),
+        counted("category_id_in_lookup", "referential_integrity", "orphan_ids", " unknown ids, first", more=listed("first_orphans")),
+        counted("category_lookup_unique_ids", "uniqueness", "lookup_repeated", " ids with several rows, first", K.WARN,
+                more=listed("repeated.ids")),
         Check("transcript_files_present", "coverage", F.when(F.col("transcripts") > 0, 0).otherwise(1),
-              F.concat(F.col("transcripts").cast("string"), F.lit(" transcript files")), when=clean),
+              F.concat(F.col("transcripts").cast("string"), F.lit(" files")), when=clean),
     ]
     return K.report(rows, "raw", specs, PART)
 

@@ -10,6 +10,7 @@ from daybrook.params import DEFAULTS, Params
 
 
 def rounded(expr: str, digits: int) -> str:
+    """Half-up rounding of a share or percentage: the decimal holds values below 1e9."""
     return f"CAST(round(CAST({expr} AS DECIMAL(24, 15)), {digits}) AS DOUBLE)"
 
 
@@ -59,6 +60,11 @@ def hate_trend(spark: SparkSession, events: DataFrame) -> DataFrame:
         FROM {{events}} GROUP BY p_date ORDER BY p_date""", events=events)
 
 
+def hours(seconds: str) -> str:
+    """Hours with one decimal, rounded half away from zero in whole numbers: exact for every sum of seconds."""
+    return f"CAST(sign({seconds}) AS BIGINT) * ((abs({seconds}) + 180) DIV 360) / 10.0D"
+
+
 def top_categories(events: DataFrame, bridge: DataFrame, categories: DataFrame, level=1, k=10) -> DataFrame:
     """Q5. Categories of one level by watch time; a video with several of them counts in each.
 
@@ -73,7 +79,7 @@ def top_categories(events: DataFrame, bridge: DataFrame, categories: DataFrame,
     per_user = watched.join(wanted, "pid").groupBy(*labels, "user_id").agg(F.sum("w").alias("w"))
     return (
         per_user.groupBy(*labels).agg(F.count(F.lit(1)).alias("users"), F.sum("w").alias("w"))
-        .select(*labels, "users", F.expr(rounded("w / 3600.0D", 1)).alias("watch_hours"))
+        .select(*labels, "users", F.expr(hours("w")).alias("watch_hours"))
         .orderBy(F.desc("watch_hours"), *labels).limit(k)
     )
 

@@ -45,6 +45,7 @@ FEATURE_COLUMNS = [
     "late_night_watch_seconds", "late_night_share", "n_sessions", "max_session_seconds",
     "avg_session_seconds", "hate_events", "hate_rate", "rewatch_events", "rewatch_rate",
 ]
+# fixed values: dimension columns
 USER_COLUMNS = ["user_id"] + USER_ATTRIBUTES
 VIDEO_COLUMNS = ["pid", "author_id", "title", "duration", "has_transcript", "transcript_word_count"]
 

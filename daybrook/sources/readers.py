@@ -1,5 +1,9 @@
 """Scans. Every reader takes an explicit schema or fixed column list; nothing infers types."""
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,36 +33,63 @@ def path_missing(exc: AnalysisException) -> bool:
     return (exc.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
-def csv_header(spark: SparkSession, path: str):
-    """Column names of the header row, byte order mark removed; empty for an empty file."""
+def csv_headers(spark: SparkSession, path):
+    """The files under ``path`` by header: (column names, files) pairs; [] if all are empty, None if nothing is there.
+
+    A file's header is its first line, byte order mark removed. One scan of the lines, combined to one row per file.
+    """
     try:
-        return spark.read.options(**QUOTED_CSV).csv(path).columns
+        lines = spark.read.text(path)
     except AnalysisException as exc:
         if path_missing(exc):
             return None
         raise
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place")).groupBy("file").agg(
+        F.min_by("value", "place").alias("value"))
+    # one short row per delivered file
+    rows = first.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
+    parsed = [(next(csv.reader([r["value"].removeprefix("\ufeff")]), []), r["files"]) for r in rows]
+    return [(columns, files) for columns, files in parsed if columns]
 
 
-def read_quoted_csv(spark: SparkSession, path: str, columns, header=True) -> DataFrame:
+def read_quoted_csv(spark: SparkSession, path, columns, header=True, extra=(), base=None) -> DataFrame:
     """Quoted CSV, every value verbatim text, plus ``_corrupt_record`` for rows with another field count.
 
-    Quoted line breaks make a file unsplittable: files are the unit of parallelism here. Read the source once, land
-    it by date, and read the landed copy afterwards.
+    ``path`` is a path or a list of files that share these columns in this order; ``extra`` names directory columns
+    below ``base``. Quoted line breaks make a file unsplittable: files are the unit of parallelism, so a large source
+    must be delivered as many files. Read it once, land it by date, and read the landed copy afterwards.
     """
-    schema = T.StructType(text_schema(columns).fields + [T.StructField(CORRUPT, T.StringType())])
-    return (
+    schema = T.StructType(text_schema([*columns, *extra]).fields + [T.StructField(CORRUPT, T.StringType())])
+    reader = (
         spark.read.schema(schema).options(**QUOTED_CSV).option("header", str(header).lower())
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", "false").csv(path)
-    )
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false"))
+    return (reader.option("basePath", base) if base else reader).csv(path)
 
 
-def good_rows(df: DataFrame) -> DataFrame:
-    """Rows with the right field count; empty cells are ``''``, never null."""
+def read_delivered_csv(spark: SparkSession, path, headers, extra=()) -> DataFrame:
+    """All files of a source, each read by its own header (``csv_headers``), as one table.
+
+    Known columns come in contract order, then unknown ones by name. Empty cells are ``''``; a column that a row's file
+    does not have is null, which is how the raw gate tells a missing column from an empty cell. Malformed rows keep
+    their ``_corrupt_record``.
+    """
+    found = {c for columns, _ in headers for c in columns}
+    order = [c for c in RAW_COLUMNS if c in found] + sorted(found.difference(RAW_COLUMNS))
+    parts = []
+    for columns, files in headers:
+        where, base = (path, None) if len(headers) == 1 else ([unquote(f) for f in files], path)
+        rows = read_quoted_csv(spark, where, columns, extra=extra, base=base if extra else None).na.fill("", columns)
+        parts.append(rows.select(*[F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in order], *extra, CORRUPT))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def good_rows(df: DataFrame, fill=True) -> DataFrame:
+    """Rows with the right field count; with ``fill`` empty cells are ``''``, never null."""
     # a plan that reads nothing but the quarantine column is refused, so the filter touches a data column too
     touched = F.coalesce(F.length(df.columns[0]), F.lit(0)) >= 0
     kept = df.where(F.col(CORRUPT).isNull() & touched).drop(CORRUPT)
-    return kept.na.fill("", [f.name for f in kept.schema.fields if isinstance(f.dataType, T.StringType)])
+    return kept.na.fill("", [f.name for f in kept.schema.fields if isinstance(f.dataType, T.StringType)]) if fill else kept
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
@@ -67,14 +98,23 @@ def malformed_rows(df: DataFrame) -> DataFrame:
 
 def read_raw(spark: SparkSession, root: str, p_date=None, columns=None, fmt="parquet") -> DataFrame:
     """Landed raw rows as text plus the directory date; one date when ``p_date`` is given."""
-    schema = T.StructType(text_schema(RAW_COLUMNS).fields + [T.StructField(PART, T.StringType())])
-    reader = spark.read.schema(schema)
-    df = (reader.options(**QUOTED_CSV).csv(root) if fmt == "csv" else reader.parquet(root)).na.fill("", RAW_COLUMNS)
+    if fmt == "csv":
+        rows = good_rows(read_delivered_csv(spark, root, csv_headers(spark, root), [PART]))
+        df = rows.select(*RAW_COLUMNS, PART)
+    else:
+        schema = T.StructType(text_schema(RAW_COLUMNS).fields + [T.StructField(PART, T.StringType())])
+        df = spark.read.schema(schema).parquet(root).na.fill("", RAW_COLUMNS)
     if p_date is not None:
         df = df.where(F.col(PART) == C.check_p_date(p_date))
     return df.select(*columns) if columns else df
 
 
+def read_raw_as_delivered(spark: SparkSession, root: str, p_date=None) -> DataFrame:
+    """Landed Parquet with the columns it really has, for the raw gate: extra columns stay, a missing one is null or absent."""
+    df = spark.read.option("mergeSchema", "true").option("basePath", root).parquet(root).withColumn(PART, F.col(PART).cast("string"))
+    return df if p_date is None else df.where(F.col(PART) == C.check_p_date(p_date))
+
+
 def read_raw_date(spark: SparkSession, root: str, p_date: str, columns=None, fmt="parquet") -> DataFrame:
     """Like ``read_raw`` for one date, but a date that was never landed is an error naming it."""
     p_date = C.check_p_date(p_date)
@@ -84,7 +124,7 @@ def read_raw_date(spark: SparkSession, root: str, p_date: str, columns=None, fmt
 
 
 def partition_dates_df(spark: SparkSession, root: str, column=PART) -> DataFrame:
-    """Distinct partition values under a root, ascending: one listed row per file, no file is opened."""
+    """Distinct partition values under a root, ascending, empty partitions included: one listed row per file, no file is opened."""
     schema = T.StructType([T.StructField(column, T.StringType())])
     listing = T.StructType([
         T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),

@@ -7,6 +7,9 @@ from daybrook.schemas import LOG_SCHEMA
 from daybrook.sources.readers import CSV_WRITE, FORMATS, PART, partition_dates_df, path_missing
 
 
+CSV_ROWS_PER_FILE = 1_000_000
+
+
 def by_date(df: DataFrame, column: str) -> DataFrame:
     """Rows of one date together, sized by the adaptive planner: hot dates are split, small ones merged.
 
@@ -22,6 +25,11 @@ def write_partitions(df: DataFrame, root: str, column="p_date", fmt="parquet", *
      .option("partitionOverwriteMode", "dynamic").options(**options).format(fmt).save(root))
 
 
+def replace_all(df: DataFrame, root: str, column="p_date"):
+    """Replace the whole partitioned table: dates without rows disappear. ``root`` must not be an input of ``df``."""
+    by_date(df, column).write.mode("overwrite").partitionBy(column).option("partitionOverwriteMode", "static").parquet(root)
+
+
 def replace_partition(df: DataFrame, root: str, column: str, date):
     """Delete one date and insert the given rows, also when there are none. Returns rows inserted.
 
@@ -41,7 +49,8 @@ def replace_partition(df: DataFrame, root: str, column: str, date):
 
 def fanout_by_date(raw: DataFrame, root: str, fmt="parquet"):
     """Land raw text by date. The data keeps its own ``p_date``; the directory column is ``part_date``."""
-    options = {} if fmt == "parquet" else CSV_WRITE
+    # a landed CSV file is one task to read, so it holds a bounded number of rows
+    options = {} if fmt == "parquet" else {**CSV_WRITE, "maxRecordsPerFile": CSV_ROWS_PER_FILE}
     write_partitions(raw.withColumn(PART, F.col("p_date")), root, PART, fmt, **options)
 
 
@@ -84,9 +93,14 @@ def write_format(df: DataFrame, fmt: str, path: str):
         df.write.options(**options).format(source).save(path)
 
 
-def write_clustered(df: DataFrame, path: str, column="p_date"):
-    """Range-clustered copy without directories: footer statistics of each row group cover few dates."""
-    df.repartitionByRange(column).sortWithinPartitions(column).write.parquet(path)
+def write_clustered(df: DataFrame, path: str, column="p_date", spread=None):
+    """Range-clustered copy without directories: footer statistics of each row group cover few dates.
+
+    Ranges run over the date and then ``spread`` (by default the first other column), so a date with most of the rows
+    is several tasks.
+    """
+    spread = spread or next((c for c in df.columns if c != column), column)
+    df.repartitionByRange(column, spread).sortWithinPartitions(column, spread).write.parquet(path)
 
 
 def upsert(target: DataFrame, source: DataFrame, columns, key) -> DataFrame:

@@ -28,7 +28,6 @@ BASE = dict(
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, "tests", shuffle_partitions=2, memory="4g")
-    s.conf.set("spark.sql.codegen.wholeStage", "false")  # inputs are tiny: compiling each plan would dominate
     yield s
     s.stop()
 
@@ -41,27 +40,35 @@ def raw_df(spark, rows):
     return spark.createDataFrame([[r[c] for c in RAW_COLUMNS] for r in rows], RAW_SCHEMA)
 
 
+NOON, MINUTE, DAY = T0 + 7200, 60, 86400
+
+
 def two_days():
-    """Seven rows on the first day (three events plus one duplicated), three on the second."""
-    m2 = dict(user_id=2, pid=101, gender="F", age=25)
+    """First day: one event under two tags, an event delivered twice, a rewatched one, one with unknown places (six rows).
+
+    Second day: the first event again, and two new ones (three rows).
+    """
+    cook = dict(user_id=11, pid=300, title="noodles", exposed_time=NOON, watch_time=25, duration="40.5", p_hour=12, gender="F", age=33)
+    night = dict(user_id=12, pid=301, title="owls", exposed_time=NOON - 9 * 3600, watch_time=8, duration="64.0", p_hour=3, age=19)
+    replay = dict(user_id=13, pid=302, title="goal!", exposed_time=NOON + 5 * MINUTE, watch_time=95, duration="31.5", p_hour=12, age=27)
+    nowhere = dict(user_id=14, pid=303, title="maps", fre_community_type="unknown", fre_city_level="unknown", exposed_time=NOON + MINUTE, p_hour=12)
     return [
-        raw_row(), raw_row(category_id=2, tag_name="b"), raw_row(category_id=3, tag_name="c"),
-        raw_row(**m2, exposed_time=T0 + 100), raw_row(**m2, exposed_time=T0 + 100),
-        raw_row(user_id=3, pid=102, exposed_time=T0 + 200, watch_time=40, hate="True", age=41),
-        raw_row(user_id=4, pid=103, exposed_time=T0 + 300, age=52, fre_community_type="unknown", fre_city_level="unknown"),
-        raw_row(p_date=D2), raw_row(pid=104, exposed_time=T0 + 86400, p_date=D2),
-        raw_row(**m2, exposed_time=T0 + 86450, p_date=D2),
+        raw_row(**cook, category_id=2, tag_name="wok"), raw_row(**cook, category_id=3, tag_name="soup"),
+        raw_row(**night), raw_row(**night), raw_row(**replay, hate="True"), raw_row(**nowhere),
+        raw_row(**{**cook, "category_id": 2, "tag_name": "wok", "p_date": D2}),
+        raw_row(**{**night, "pid": 304, "title": "foxes", "exposed_time": NOON + DAY, "p_hour": 12, "p_date": D2}),
+        raw_row(**{**replay, "exposed_time": NOON + DAY + MINUTE, "watch_time": 30, "p_date": D2}),
     ]
 
 
 def lookup_df(spark, rows=None):
-    rows = rows or [("1", "1", "美食", "1", "1", " food"), ("1", "2", "游戏", "2", "2", " games"),
-                    ("2", "3", "做饭", "1", "1", " cooking")]
+    rows = rows or [("1", "1", "旅行", "1", "1", " travel"), ("1", "2", "手工", "2", "2", " crafts"),
+                    ("2", "3", "摄影", "1", "1", " photo")]
     return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ", ".join(
         f"{c} string" for c in CATEGORY_COLUMNS) + ", _file_seq bigint")
 
 
-def files_df(spark, files=(("100.txt", "hello brave new world"), ("101.txt", "single"), ("notes.txt", "skip me"))):
+def files_df(spark, files=(("300.txt", "first boil the water then"), ("301.txt", "hoot"), ("readme.txt", "about these files"))):
     return spark.createDataFrame(list(files), text_schema(["file_name", "value"]))
 
 

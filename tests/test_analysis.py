@@ -112,17 +112,17 @@ def test_profile_of_two_days(spark):
     raw = raw_df(spark, two_days() + [raw_row(pid="x1", title="a\nb", p_hour=11, p_date=D2, watch_time="bad")])
     prof = {r["column_name"]: r for r in P.column_profile(raw).collect()}
     assert prof["fre_city_level"]["unknown"] == 1 and prof["pid"]["non_numeric"] == 1 and prof["title"]["non_numeric"] is None
-    w = [10, 10, 10, 10, 10, 40, 10, 10, 10, 10]
+    w = [25, 25, 8, 8, 95, 10, 25, 8, 30]
     assert prof["watch_time"]["mean"] == statistics.mean(w) and prof["watch_time"]["std"] == pytest.approx(statistics.stdev(w))
     assert prof["watch_time"]["p90"] == pytest.approx(float(np.quantile(w, 0.9)))
     d = P.dataset_profile(raw).first()
-    assert (d["n_rows"], d["exact_duplicate_rows"], d["p_date_min"], d["p_date_max"]) == (11, 1, D1, D2) and d["schema_matches"]
-    assert {r[0] for r in P.hours(raw).where("present").collect()} == {10, 11}
+    assert (d["n_rows"], d["exact_duplicate_rows"], d["p_date_min"], d["p_date_max"]) == (10, 1, D1, D2) and d["schema_matches"]
+    assert {r[0] for r in P.hours(raw).where("present").collect()} == {3, 11, 12}
     assert P.row_flags(raw).first()["rows_with_newline_in_title"] == 1
     clean = raw.where("pid <> 'x1'")
     e = P.rows_per_event(clean).first()
-    assert (e["unique_events"], e["max"], e["rows_1"], e["rows_2"], e["rows_4"]) == (6, 4, 4, 1, 1)
-    assert [tuple(r) for r in P.multi_partition_events(clean).collect()] == [(1, 100, T0, 2)]
+    assert (e["unique_events"], e["max"], e["rows_1"], e["rows_2"], e["rows_3"]) == (6, 3, 4, 1, 1)
+    assert [tuple(r) for r in P.multi_partition_events(clean).collect()] == [(11, 300, T0 + 7200, 2)]
 
 
 def test_time_consistency(spark):
@@ -137,6 +137,16 @@ def test_lookup_and_transcript_profiles(spark):
     r = P.lookup_profile(look).first()
     assert (r["n_rows"], r["distinct_ids"], r["repeated_ids"], r["rows_with_repeated_id"], r["blank_labels"],
             r["labels_with_leading_space"]) == (3, 2, 1, 2, 1, 1)
-    pids = spark.createDataFrame([(100,), (100,), (5,)], "pid bigint")
+    pids = spark.createDataFrame([(300,), (300,), (5,)], "pid bigint")
     t = P.transcript_profile(files_df(spark), pids).first()
     assert (t["files"], t["non_numeric_names"], t["matching_a_video"], t["not_matching"], t["video_coverage"]) == (3, 1, 1, 1, 0.5)
+
+
+def test_watch_hours_of_any_size(spark):
+    """Sums of seconds near the limit of a 64-bit integer, and ties of the rounding."""
+    from daybrook.plans import reports
+    events = spark.createDataFrame([(1, 1, 3_600_000_000_000_000), (2, 2, 180), (3, 3, 179)], "pid bigint, user_id bigint, watch_time bigint")
+    bridge = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "pid bigint, category_id bigint")
+    cats = spark.createDataFrame([(i, 1, f"c{i}", f"c{i}") for i in (1, 2, 3)], "category_id bigint, category_level bigint, category_name_en string, category_name_cn string")
+    got = [(r["category_name_en"], r["watch_hours"]) for r in reports.top_categories(events, bridge, cats).collect()]
+    assert got == [("c1", 1e12), ("c2", 0.1), ("c3", 0.0)]

@@ -67,7 +67,7 @@ def test_each_defect_fails_its_check_in_its_own_date(spark):
 
 
 def test_user_attributes_must_agree(spark):
-    assert failing(raw_report(spark, day_one() + [raw_row(pid=7, gender="F")])) == {"user_attributes_consistent"}
+    assert failing(raw_report(spark, day_one() + [raw_row(user_id=11, pid=7, gender="M", age=33)])) == {"user_attributes_consistent"}
 
 
 def test_warnings_do_not_stop(spark):
@@ -110,19 +110,19 @@ def test_clean_staged_passes(spark):
     assert len(rep) == 20 and all(r["passed"] for r in rep.values())
 
 
-def on_user_3(column, value):
-    return F.when(F.col("user_id") == 3, value).otherwise(F.col(column))
+def on_user_13(column, value):
+    return F.when(F.col("user_id") == 13, value).otherwise(F.col(column))
 
 
 @pytest.mark.parametrize("names, change", [
-    ({"event_key_unique", "event_count_reconciles_to_raw"}, lambda e: e.unionByName(e.where("user_id = 1"))),
-    ({"event_count_reconciles_to_raw"}, lambda e: e.where("user_id <> 2 OR p_date > '2022-09-16'")),
+    ({"event_key_unique", "event_count_reconciles_to_raw"}, lambda e: e.unionByName(e.where("user_id = 11"))),
+    ({"event_count_reconciles_to_raw"}, lambda e: e.where("user_id <> 12 OR p_date > '2022-09-16'")),
     ({"rewatch_retained_and_flagged", "fre_community_type_unknown_preserved", "fre_city_level_unknown_preserved",
       "tag_count_positive", "watch_ratio_non_negative"},
      lambda e: e.withColumn("is_rewatch_flagged", F.lit(False)).withColumn("fre_community_type", F.lit("城区"))
-     .withColumn("fre_city_level", F.lit("一线城市")).withColumn("tag_count", on_user_3("tag_count", 0))
-     .withColumn("watch_ratio", on_user_3("watch_ratio", -1.0))),
-    ({"key_columns_not_null"}, lambda e: e.withColumn("pid", F.when(F.col("user_id") != 3, F.col("pid")))),
+     .withColumn("fre_city_level", F.lit("一线城市")).withColumn("tag_count", on_user_13("tag_count", 0))
+     .withColumn("watch_ratio", on_user_13("watch_ratio", -1.0))),
+    ({"key_columns_not_null"}, lambda e: e.withColumn("pid", F.when(F.col("user_id") != 13, F.col("pid")))),
 ])
 def test_staged_defects(spark, names, change):
     rep = staged_report(spark, change)
@@ -131,7 +131,7 @@ def test_staged_defects(spark, names, change):
 
 def test_staged_pair_defects(spark):
     assert not staged_report(spark, change_pairs=lambda p: p.unionByName(p))[(D1, "video_category_pairs_unique")]["passed"]
-    assert not staged_report(spark, change_pairs=lambda p: p.where("pid <> 100"))[(D1, "staged_events_have_categories")]["passed"]
+    assert not staged_report(spark, change_pairs=lambda p: p.where("pid <> 300"))[(D1, "staged_events_have_categories")]["passed"]
 
 
 def test_business_rules_only_bind_the_first_date(spark):
@@ -159,8 +159,8 @@ def test_curated_defects(spark):
     f = t["features"]
     t["features"] = f.unionByName(f).withColumn("hate_rate", F.lit(1.5)).withColumn("hate_events", F.lit(99)).withColumn(
         "n_sessions", F.lit(0)).withColumn("n_events", F.col("n_events") + 5)
-    t["users"] = t["users"].where("user_id <> 1")
-    t["videos"] = t["videos"].where("pid <> 101").withColumn("transcript_word_count", F.lit(-1))
+    t["users"] = t["users"].where("user_id <> 11")
+    t["videos"] = t["videos"].where("pid <> 301").withColumn("transcript_word_count", F.lit(-1))
     bad = {r["name"] for r in gates.curated_gate(**t).collect() if r["p_date"] == D1 and not r["passed"]}
     assert bad == {
         "hate_rate_within_0_1", "features_pk_unique", "feature_event_totals_reconcile", "hate_events_le_events",
@@ -173,7 +173,7 @@ def test_constraints(spark):
     tables = {"users": t["users"], "videos": t["videos"], "categories": t["categories"], "video_categories": t["bridge"],
               "interactions_curated": t["events"], "daily_user_features": t["features"]}
     assert constraints.constraint_violations(tables).where("violations > 0").count() == 0
-    tables["users"] = t["users"].withColumn("age", F.when(F.col("user_id") == 1, 9).otherwise(F.col("age"))).where("user_id <> 3")
+    tables["users"] = t["users"].withColumn("age", F.when(F.col("user_id") == 11, 9).otherwise(F.col("age"))).where("user_id <> 13")
     bad = {(r["table_name"], r["name"]): r["violations"]
            for r in constraints.constraint_violations(tables).where("violations > 0").collect()}
     assert bad == {("users", "age_10_to_100"): 1, ("interactions_curated", "user_id->users"): 1,

@@ -5,6 +5,7 @@ small fixtures, are left to ``tools/compare.py``.
 """
 
 import os
+import re
 
 import pytest
 
@@ -18,7 +19,9 @@ LONG = {
     "gate_summary", "gate_staged", "gate_staged_defects", "gate_curated", "gate_curated_defects", "constraint_violations",
     "profile_columns", "format_roundtrip_fidelity", "format_inferred_fidelity", "usage_summary", "stage_stats",
 }
-NAMES = sorted(entry.queries())
+EMPTY = {"lineage_problems"}  # nothing is wrong there
+# the queries of the optional subpackage have tests of their own
+NAMES = sorted(n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
@@ -32,9 +35,9 @@ def con():
 def test_query_equals_sql(spark, con, name):
     ok, rows, message = compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql().get(name))
     assert ok, message
-    assert rows >= 0
+    assert rows > 0 or name in EMPTY
 
 
 def test_registry_is_consistent():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"format_inferred_fidelity", "format_sizes", "partition_stats_bytes"}
+    assert set(NAMES) <= set(entry.oracle_sql())

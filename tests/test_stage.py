@@ -67,8 +67,8 @@ def test_incremental_ownership_equals_range(spark):
 def test_pairs_belong_to_the_owning_date(spark):
     got = {(str(r["p_date"]), r["pid"], r["category_id"])
            for r in stage.stage_category_pairs(raw_df(spark, two_days())).collect()}
-    assert {g[1:] for g in got if g[1] == 100} == {(100, 1), (100, 2), (100, 3)}
-    assert {g[0] for g in got if g[1] == 100} == {"2022-09-16"}
+    assert {g[1:] for g in got if g[1] == 300} == {(300, 2), (300, 3)}
+    assert {g[0] for g in got if g[1] == 300} == {"2022-09-16"}
 
 
 def test_rewatch_is_strict_and_uncapped(spark):
@@ -84,7 +84,7 @@ def test_zero_duration_gives_null_ratio(spark):
 
 
 def test_unknown_stays_and_types_are_fixed(spark):
-    e = staged(spark, two_days(), batch_id="b1").where("user_id = 4").first()
+    e = staged(spark, two_days(), batch_id="b1").where("user_id = 14").first()
     assert e["fre_community_type"] == "unknown" and e["fre_city_level"] == "unknown" and e["ingest_batch_id"] == "b1"
     types = dict(staged(spark, two_days()).dtypes)
     assert types["p_date"] == "date" and types["duration"] == "double" and types["hate"] == "boolean" and types["age"] == "bigint"
@@ -92,10 +92,11 @@ def test_unknown_stays_and_types_are_fixed(spark):
 
 
 def test_lookup_keeps_first_label_and_flags_conflicts(spark):
-    rows = [("1", "7", "舞", "1", "1", " dance"), ("1", "8", "乐", "1", "1", " music"), ("1", "7", "舞", "1", "1", " dancing")]
+    rows = [("2", "41", "鸟", "4", "4", " birds"), ("2", "40", "树", "4", "4", "trees "), ("2", "41", "鸟", "4", "4", " fowl"),
+            ("2", "41", "鸟", "4", "4", " birds")]
     got = {r["category_id"]: (r["category_name_en"], r["en_label_ambiguous"])
            for r in stage.stage_categories(lookup_df(spark, rows)).collect()}
-    assert got == {7: ("dance", True), 8: ("music", False)}
+    assert got == {41: ("birds", True), 40: ("trees", False)}
 
 
 def test_strip_removes_unicode_space(spark):
@@ -105,7 +106,7 @@ def test_strip_removes_unicode_space(spark):
 
 def test_transcripts(spark):
     got = {r["pid"]: r["transcript_word_count"] for r in stage.stage_transcripts(files_df(spark)).collect()}
-    assert got == {100: 4, 101: 1}
+    assert got == {300: 5, 301: 1}
     empty = stage.no_transcripts(spark)
     assert empty.count() == 0 and dict(empty.dtypes)["transcript_word_count"] == "bigint"
 
@@ -130,13 +131,13 @@ def test_text_type_rules(spark):
 
 
 def test_dimensions(spark):
-    ev = staged(spark, two_days() + [raw_row(pid=100, user_id=9, exposed_time=T0 + 5, title="Z", p_date=D2, age=60),
+    ev = staged(spark, two_days() + [raw_row(pid=300, user_id=9, exposed_time=T0 + 5, title="Z", p_date=D2, age=60),
                                      raw_row(pid=9, user_id=9, exposed_time=T0 + 6, p_date=D2, age=61)])
     users = {r["user_id"]: r["age"] for r in curate.dim_users(ev).collect()}
     assert users[9] == 61 and len(users) == 5
     videos = {r["pid"]: r for r in curate.dim_videos(ev, stage.stage_transcripts(files_df(spark))).collect()}
-    assert videos[100]["title"] == "Z" and videos[100]["transcript_word_count"] == 4
-    assert videos[102]["has_transcript"] is False and videos[102]["transcript_word_count"] is None
+    assert videos[300]["title"] == "Z" and videos[300]["transcript_word_count"] == 5
+    assert videos[302]["has_transcript"] is False and videos[302]["transcript_word_count"] is None
 
 
 def test_hot_event_is_combined_before_the_shuffle(spark):

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from daybrook.functions import columns as C
 from daybrook.operators import compare
-from daybrook.plans import ingest, layout
+from daybrook.plans import gates, ingest, layout
 from daybrook.schemas import CATEGORY_COLUMNS, RAW_COLUMNS
 from daybrook.sources import readers as R, sinks as W
-from tests.conftest import D1, D2, raw_df, two_days
+from tests.conftest import D1, D2, D3, files_df, lookup_df, raw_df, raw_row, two_days
 
 ROWS = ('1,"line one, with comma\nline two ""quoted""",20220916\ntoo,short\n2,,20220917\n3,"",20220917\n'
         '1,2,3,4\n4, x ,20220917\n')
@@ -68,7 +68,7 @@ def test_ingest_logs_every_source_under_one_batch(spark, tmp_path):
     assert R.last_ok_batch_id(spark, raw + "/_ingestion_log", "interactions") is None
     assert R.last_ok_batch_id(spark, raw + "/nolog", "categories") is None
     assert spark.read.schema("id bigint").json(raw + "/rules").count() == 2
-    assert spark.read.parquet(raw + "/categories").first()["category_name_en"] == " food"
+    assert spark.read.parquet(raw + "/categories").first()["category_name_en"] == " travel"
 
 
 def test_partition_reads(spark, tmp_path):
@@ -80,9 +80,9 @@ def test_partition_reads(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="20230101"):
         R.read_raw_date(spark, root, "20230101")
     W.fanout_by_date(raw_df(spark, [r for r in two_days() if r["p_date"] == D2][:1]), root)  # rerun of one date
-    assert {r[0]: r[1] for r in W.rows_per_date(R.read_raw(spark, root)).collect()} == {D1: 7, D2: 1}
+    assert {r[0]: r[1] for r in W.rows_per_date(R.read_raw(spark, root)).collect()} == {D1: 6, D2: 1}
     W.land_missing_dates(raw_df(spark, two_days()), root)  # both known: nothing changes
-    assert R.read_raw(spark, root).count() == 8
+    assert R.read_raw(spark, root).count() == 7
     plan = R.read_raw(spark, root, D1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part_date" in plan
     assert compare.same_rows(R.read_raw(spark, root, D1).select(*RAW_COLUMNS), raw_df(spark, [r for r in two_days() if r["p_date"] == D1]))
@@ -149,3 +149,74 @@ def test_strategies_prune_and_agree(spark, tmp_path):
     plan = s["single_pushdown"]._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(p_date" in plan
     assert {r["skew_ratio"] for r in layout.partition_stats(spark, paths[0], df.schema).collect()} == {1.0}
+
+
+def write_csv(path, columns, rows):
+    path.write_text("\n".join([",".join(columns), *[",".join(r[c] for c in columns) for r in rows]]) + "\n")
+
+
+def delivered(tmp_path, shapes):
+    """One file per (columns, row changes); a row carries its own user id."""
+    (tmp_path / "src").mkdir()
+    for i, (columns, changes) in enumerate(shapes):
+        write_csv(tmp_path / "src" / f"{i}.csv", columns, [{**raw_row(user_id=i), "surprise": "x", **changes}])
+    return str(tmp_path / "src"), str(tmp_path / "raw")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_each_file_is_read_by_its_own_header(spark, tmp_path, fmt):
+    swapped = ["hate", "click"] + [c for c in RAW_COLUMNS if c not in ("hate", "click")]
+    src, raw = delivered(tmp_path, [(RAW_COLUMNS, dict(hate="True")), (swapped, dict(hate="True")), (swapped, dict(click="True"))])
+    assert ingest.land_interactions(spark, src, raw, fmt)[0] == "OK"
+    got = {r["user_id"]: (r["hate"], r["click"]) for r in R.read_raw(spark, raw, fmt=fmt).collect()}
+    assert got == {"0": ("True", "False"), "1": ("True", "False"), "2": ("False", "True")}
+
+
+def test_missing_and_unknown_columns_reach_the_gate(spark, tmp_path):
+    less = [c for c in RAW_COLUMNS if c != "hate"]
+    src, raw = delivered(tmp_path, [(RAW_COLUMNS, {}), (less, dict(p_date=D2)), (RAW_COLUMNS + ["surprise"], dict(p_date=D3))])
+    ingest.land_interactions(spark, src, raw)
+    W.replace_partition(raw_df(spark, []).withColumn(R.PART, F.col("p_date")), raw, R.PART, "20220930")
+    rep = gates.raw_gate(R.read_raw_as_delivered(spark, raw), lookup_df(spark), files_df(spark), dates=R.partition_dates_df(spark, raw))
+    failed = {(r["p_date"], r["name"]): r["detail"] for r in rep.where("NOT passed").collect()}
+    assert failed == {(D2, "schema_columns"): "missing [hate], unknown []", (D3, "schema_columns"): "missing [], unknown [surprise]",
+                      ("20220930", "partition_not_empty"): "0 rows"}
+    per_date = {r["p_date"]: r["count"] for r in rep.groupBy("p_date").count().collect()}
+    assert per_date == {D1: 19, D2: 2, D3: 19, "20220930": 2}
+
+
+def test_rows_without_a_date_are_set_aside(spark, tmp_path):
+    src, raw = delivered(tmp_path, [(RAW_COLUMNS, {}), (RAW_COLUMNS, dict(p_date="soon")), (RAW_COLUMNS, dict(p_date=""))])
+    status, detail = ingest.land_interactions(spark, src, raw)
+    assert status == "OK_WITH_WARNINGS" and json.loads(detail)["undated_rows_set_aside"] == 2
+    assert json.loads(detail)["partitions"] == {D1: 1} and R.partition_dates(spark, raw) == [D1]
+    assert spark.read.parquet(f"{raw}_undated").count() == 2
+
+
+def test_a_source_without_dates_is_an_error(spark, tmp_path):
+    src, raw = delivered(tmp_path, [(RAW_COLUMNS, {}), (["user_id", "pid"], {})])
+    assert ingest.land_interactions(spark, src, raw)[0] == "ERROR"
+    (tmp_path / "empty.csv").write_text("")
+    assert ingest.land_interactions(spark, str(tmp_path / "empty.csv"), raw)[0] == "ERROR"
+    assert ingest.land_interactions(spark, str(tmp_path / "nothing"), raw)[0] == "MISSING"
+
+
+def test_error_text_is_logged_whole(spark, tmp_path, monkeypatch):
+    text = "reason " * 400
+    monkeypatch.setattr(ingest, "land_interactions", lambda *a, **k: (_ for _ in ()).throw(RuntimeError(text)))
+    ingest.ingest_all(spark, {"interactions": "x", "categories": str(tmp_path / "none"), "transcripts": str(tmp_path / "none")}, str(tmp_path / "raw"))
+    log = {r["source"]: (r["status"], r["detail"]) for r in R.read_log(spark, str(tmp_path / "raw" / "_ingestion_log")).collect()}
+    assert log["interactions"] == ("ERROR", f"RuntimeError: {text}") and log["categories"][0] == "MISSING"
+
+
+def test_a_hot_date_is_clustered_in_several_files(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id AS user_id", "IF(id % 10 = 0, '20220917', '20220916') AS p_date").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        W.write_clustered(df, str(tmp_path / "c"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    files = spark.read.parquet(str(tmp_path / "c")).groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 6 and max(r["count"] for r in files) < 6000
