@@ -5,10 +5,6 @@ import pytest
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, spans string, n_words string"
 
 
-@pytest.fixture(scope="session", autouse=True)
-def codegen(spark):
-    spark.conf.set("spark.sql.codegen.wholeStage", "true")
-
 
 @pytest.fixture
 def table(spark):
