@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from daybrook.catalog import inputs as I
 from daybrook.catalog.entry import query
 from daybrook.catalog.quality import curated_tables
+from daybrook.functions import columns as C
 from daybrook.operators import events as E
 from daybrook.plans import curate, daily, stage, warehouse as WH
 from daybrook.schemas import EVENT_KEY, RAW_COLUMNS
@@ -66,7 +67,7 @@ def replace_partition_empty(spark, sf):
     return spark.read.schema(e.schema).parquet(root).groupBy("p_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_PUB = "(SELECT * FROM ev WHERE p_date IN (DATE '2024-01-14', DATE '2024-01-15'))"
+_PUB = "ev"
 
 
 @query("warehouse_load", f"""
@@ -78,10 +79,11 @@ UNION ALL SELECT 'videos', count(DISTINCT pid), NULL, NULL FROM ev
 UNION ALL SELECT 'categories', count(*), NULL, NULL FROM nation
 UNION ALL SELECT 'video_categories', count(*), NULL, NULL FROM bridge""")
 def warehouse_load(spark, sf):
-    """Two dates published, the first one twice: same contents as one load each."""
+    """Every date published in one load, one of them again in another: the same contents."""
     curated = curated_tables(spark, sf)
     root = work_path(spark, "warehouse")
-    WH.load_dates(spark, curated, root, _DAYS)
+    dates = curated["interactions_curated"].select(C.date_to_label("p_date")).distinct().collect()
+    WH.load_dates(spark, curated, root, [d[0] for d in dates])
     WH.load_date(spark, curated, root, _DAYS[0])
     out = None
     none = F.lit(None).cast("bigint")
@@ -95,16 +97,17 @@ def warehouse_load(spark, sf):
     return out
 
 
-@query("load_all_or_nothing", f"""
-SELECT p_date, count(*) AS n_rows, false AS second_load_published FROM ev WHERE p_date = DATE '2024-01-14' GROUP BY 1""")
+@query("load_all_or_nothing", """
+SELECT p_date, count(*) AS n_rows, false AS second_load_published FROM ev WHERE p_date < DATE '2024-01-15' GROUP BY 1""")
 def load_all_or_nothing(spark, sf):
-    """The second date breaks a rule: the load raises and the warehouse still holds only the first date."""
+    """The later dates break a rule: their load raises and the warehouse still holds only the earlier ones."""
     curated = curated_tables(spark, sf)
     root = work_path(spark, "warehouse")
-    WH.load_date(spark, curated, root, _DAYS[0])
+    labels = sorted(d[0] for d in curated["interactions_curated"].select(C.date_to_label("p_date")).distinct().collect())
+    WH.load_dates(spark, curated, root, [d for d in labels if d < _DAYS[1]])
     bad = curated["interactions_curated"].withColumn("tag_count", F.when(F.col("hate"), 0).otherwise(F.col("tag_count")))
     try:
-        WH.load_date(spark, {**curated, "interactions_curated": bad}, root, _DAYS[1])
+        WH.load_dates(spark, {**curated, "interactions_curated": bad}, root, [d for d in labels if d >= _DAYS[1]])
         published = True
     except WH.LoadError:
         published = False

@@ -1,10 +1,15 @@
-"""Curated to warehouse for one date: dimensions are upserted, the facts of the date are replaced.
+"""Curated to warehouse: dimensions are upserted, the facts of the loaded dates are replaced, all or nothing.
 
-All new table contents are written to a fresh folder and checked there first; only then is anything published. A
-failed check leaves the warehouse as it was, and a rerun of the same date gives the same contents. Publishing
-several Parquet tables is not one atomic step; the rerun repairs an interruption in between.
+A load writes its dimensions and the facts of its dates into a version folder of their own and checks them there. It is
+published by appending one small file to the manifest, which names for every dimension, and every date of a fact, the
+version that holds it. Until that file exists readers see the old contents, whatever was written; a rerun of the same
+dates gives the same contents. Folders that the manifest does not name belong to replaced or failed loads.
 """
 
+import uuid
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybrook.functions import columns as C
@@ -12,8 +17,7 @@ from daybrook.operators import events as E
 from daybrook.params import DEFAULTS, Params
 from daybrook.plans import constraints, reports
 from daybrook.schemas import USER_COLUMNS, WAREHOUSE_TYPES
-from daybrook.session import work_path
-from daybrook.sources import sinks as W
+from daybrook.sources import readers as R, sinks as W
 
 DIMENSIONS = {
     "categories": ["category_id"], "users": ["user_id"], "videos": ["pid"], "video_categories": ["pid", "category_id"],
@@ -36,62 +40,98 @@ def with_derived_defaults(users: DataFrame) -> DataFrame:
     return users.withColumn("total_events", F.lit(0)).withColumn("is_sparse_history", F.lit(False))
 
 
-def _prepare_dimension(spark, root, prepared, name, source: DataFrame):
+MANIFEST = "load_number bigint, table_name string, part string, version string, n_rows bigint"
+
+
+def _version(root, name, version):
+    return f"{root}/versions/{version}/{name}"
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The version that holds each dimension (null ``part``) and each date of a fact (its label), after the latest load."""
+    try:
+        rows = spark.read.schema(MANIFEST).json(f"{root}/manifest")
+    except AnalysisException as exc:
+        if not R.path_missing(exc):
+            raise
+        rows = spark.createDataFrame([], MANIFEST)
+    last = rows.groupBy("table_name", "part").agg(F.max_by(F.struct("load_number", "version", "n_rows"), "load_number").alias("l"))
+    return last.select("table_name", "part", "l.*")
+
+
+def _facts(spark, root, name, column, state, leave_out=()) -> DataFrame | None:
+    """Rows of a fact: every version, restricted to the dates it holds. None before the first row."""
+    dates = {}
+    for r in state:
+        if r["table_name"] == name and r["n_rows"] and r["part"] not in leave_out:
+            dates.setdefault(r["version"], []).append(r["part"])
+    parts = [spark.read.parquet(_version(root, name, v)).where(F.col(column).isin([F.lit(C.iso_date(d)).cast("date") for d in held]))
+             for v, held in sorted(dates.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def tables(spark: SparkSession, root: str) -> dict:
+    """The published tables; a table that no load has filled is absent."""
+    state = manifest(spark, root).collect()  # one row per dimension and per date of a fact
+    found = {r["table_name"]: spark.read.parquet(_version(root, r["table_name"], r["version"])) for r in state if r["part"] is None}
+    facts = {name: _facts(spark, root, name, column, state) for name, column in FACTS.items()}
+    return found | {name: df for name, df in facts.items() if df is not None}
+
+
+def _prepare_dimension(spark, root, version, name, source: DataFrame, old):
     source = narrow(source, name)
     full = with_derived_defaults(source) if name == "users" else source
-    target = W.read_or_empty(spark, f"{root}/{name}", full.schema)
+    target = old[name] if name in old else spark.createDataFrame([], full.schema)
     columns = USER_COLUMNS if name == "users" else source.columns
     merged = W.upsert(target, source, columns, DIMENSIONS[name])
     if name == "users":
         merged = merged.fillna({"total_events": 0, "is_sparse_history": False})
-    W.overwrite_table(merged, f"{prepared}/{name}")
-    return spark.read.schema(full.schema).parquet(f"{prepared}/{name}")
-
-
-def load_date(spark: SparkSession, curated: dict, root: str, p_date: str, params: Params = DEFAULTS) -> dict:
-    """Publish one date. Returns rows per table; raises ``LoadError`` before publishing if a check fails."""
-    day = F.lit(C.iso_date(p_date)).cast("date")
-    prepared = work_path(spark, "load")
-    new = {name: _prepare_dimension(spark, root, prepared, name, curated[name]) for name in DIMENSIONS}
-    stats = {}
+    path = _version(root, f"{name}_upserted" if name == "users" else name, version)
+    W.overwrite_table(merged, path)
+    return spark.read.schema(full.schema).parquet(path)
+
+
+def load_dates(spark: SparkSession, curated: dict, root: str, dates, params: Params = DEFAULTS) -> dict:
+    """Publish dates together. Returns rows per table; raises ``LoadError``, with nothing published, if a check fails."""
+    labels = sorted({C.check_p_date(d) for d in dates})
+    days = [F.lit(C.iso_date(d)).cast("date") for d in labels]
+    state, old = manifest(spark, root).collect(), tables(spark, root)
+    version = uuid.uuid4().hex
+    new = {name: _prepare_dimension(spark, root, version, name, curated[name], old) for name in DIMENSIONS}
+    counts = {}
     for name, column in FACTS.items():
-        rows = narrow(curated[name].where(F.col(column) == day), name)
-        rows.write.parquet(f"{prepared}/{name}")
-        new[name] = spark.read.schema(rows.schema).parquet(f"{prepared}/{name}")
-        expected, got = curated[name].where(F.col(column) == day).count(), new[name].count()
-        stats[name] = got
-        if expected != got:
-            raise LoadError(f"row count mismatch in {name}: prepared={got} expected={expected}")
-
-    others = W.read_or_empty(spark, f"{root}/interactions_curated", new["interactions_curated"].schema).where(
-        F.col("p_date") != day)
-    events = others.unionByName(new["interactions_curated"])
-    W.overwrite_table(reports.sparse_flags(new["users"], events.select("user_id"), params), f"{prepared}/users_final")
-    new["users"] = spark.read.schema(new["users"].schema).parquet(f"{prepared}/users_final")
+        rows = narrow(curated[name].where(F.col(column).isin(days)), name)
+        path = _version(root, name, version)
+        W.replace_all(rows, path, column)
+        new[name] = spark.read.schema(rows.schema).parquet(path)
+        expected, counts[name] = ({label: n for label, n in df.groupBy(C.date_to_label(column).alias("d")).count().collect()}
+                                  for df in (curated[name].where(F.col(column).isin(days)), new[name]))  # one row per date
+        if expected != counts[name]:
+            raise LoadError(f"row counts differ in {name}: written {counts[name]}, expected {expected}")
+
+    others = _facts(spark, root, "interactions_curated", "p_date", state, labels)
+    fresh = new["interactions_curated"]
+    events = fresh.select("user_id") if others is None else others.select("user_id").unionByName(fresh.select("user_id"))
+    users = _version(root, "users", version)
+    W.overwrite_table(reports.sparse_flags(new["users"], events, params), users)
+    new["users"] = spark.read.schema(new["users"].schema).parquet(users)
 
     bad = constraints.constraint_violations(new).where("violations > 0").collect()  # one row per constraint
     # an event key may not exist under another date either
-    fresh = E.not_owned_earlier(new["interactions_curated"], others).count()
-    clash = stats["interactions_curated"] - fresh
+    clash = 0 if others is None else fresh.count() - E.not_owned_earlier(fresh, others).count()
     if bad or clash:
         names = [f"{r['table_name']}.{r['name']} ({r['violations']})" for r in bad]
         raise LoadError("constraints violated: " + ", ".join(names + ([f"event key in another date ({clash})"] if clash else [])))
 
-    for name, column in FACTS.items():
-        W.replace_partition(new[name], f"{root}/{name}", column, C.iso_date(p_date))
-    for name in DIMENSIONS:
-        W.overwrite_table(new[name], f"{root}/{name}")
-        stats[name] = new[name].count()
-    in_table = spark.read.schema(new["interactions_curated"].schema).parquet(f"{root}/interactions_curated").where(
-        F.col("p_date") == day).count()
-    if in_table != stats["interactions_curated"]:
-        raise LoadError(f"row count mismatch after load: table={in_table} expected={stats['interactions_curated']}")
-    return stats
-
-
-def load_dates(spark: SparkSession, curated: dict, root: str, dates, params: Params = DEFAULTS):
-    return {d: load_date(spark, curated, root, d, params) for d in sorted(dates)}
+    number = 1 + max((r["load_number"] for r in state), default=0)
+    stats = {name: new[name].count() for name in DIMENSIONS}
+    rows = [(number, name, None, version, n) for name, n in stats.items()]
+    rows += [(number, name, d, version, counts[name].get(d, 0)) for name in FACTS for d in labels]
+    # the switch: one file appears, or none
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
+    return stats | {name: sum(counts[name].values()) for name in FACTS}
 
 
-def tables(spark: SparkSession, root: str) -> dict:
-    return {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, *FACTS]}
+def load_date(spark: SparkSession, curated: dict, root: str, p_date: str, params: Params = DEFAULTS) -> dict:
+    """Publish one date."""
+    return load_dates(spark, curated, root, [p_date], params)
