@@ -14,7 +14,8 @@ from array import array
 
 import numpy as np
 
-CACHE_UNITS = 400_000  # per generation and worker, and as many words
+CACHE_UNITS = 400_000  # per generation and worker
+CACHE_WORDS = 900_000  # per worker
 
 _UNIT = re.compile(rb"\s*\S+|\s+")
 _ODD_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -84,7 +85,7 @@ class UnitEncoder:
         return found
 
     def _learn(self, units: set[bytes]) -> None:
-        if len(self.words) > CACHE_UNITS:
+        if len(self.words) > CACHE_WORDS:
             self.words = {}
         whole, simple = [], {}
         for u in units:
@@ -115,7 +116,13 @@ class UnitEncoder:
             word = word.decode().lower().encode()
         ids = self.words.get(word)
         if ids is None:
-            tokens = self.model.tokenize(word.decode("latin-1").translate(BYTE_CHARS))
+            if word.isalpha():  # ASCII letters stand for themselves
+                text = word.decode()
+            elif word[1:].isalpha() and word[:1] == b" ":
+                text = BYTE_CHARS[32] + word[1:].decode()
+            else:
+                text = word.decode("latin-1").translate(BYTE_CHARS)
+            tokens = self.model.tokenize(text)
             ids = self.words[word] = array("I", [t.id for t in tokens]).tobytes()
         return ids
 

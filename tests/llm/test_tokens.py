@@ -38,6 +38,7 @@ def test_units_equal_the_library(both, texts):
 
 def test_unit_cache_is_bounded(texts, monkeypatch):
     monkeypatch.setattr(bpe_units, "CACHE_UNITS", 50)
+    monkeypatch.setattr(bpe_units, "CACHE_WORDS", 50)
     path = vocabulary(BYTES)
     encoder, library = bpe_units.UnitEncoder(path, True), Tokenizer.from_file(path)
     for t in texts[:60]:
