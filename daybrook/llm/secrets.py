@@ -3,7 +3,7 @@
 All of it is DataFrame code. Two first-order models over the characters of ``ALPHABET`` are trained from labelled samples:
 *random* strings, derived from hashes (base-64, hexadecimal and base-32-like forms of ``RANDOM_SAMPLE`` digests), and
 *ordinary* identifiers, the words of ``ORDINARY_SAMPLE`` documents chosen by a hash of their id. A run of at least
-``MIN_RUN`` characters that holds a letter and a digit is reported when its log-likelihood ratio exceeds ``MIN_TOTAL`` in
+``MIN_RUN`` characters that holds a letter is reported when its log-likelihood ratio exceeds ``MIN_TOTAL`` in
 all and ``MIN_MEAN`` per character. The models are two bounded tables of counts; every text is scanned whole.
 
 Spans are code points, end exclusive, ordered by start and then by kind as in ``KINDS``; spans of different kinds may
@@ -103,7 +103,7 @@ def _with_spans(slim: DataFrame, weights: list[float]) -> DataFrame:
         F.filter(spans_where(text.contains("AKIA"), text, ACCESS), lambda s: long_run(s) >= MIN_ACCESS).alias("__secret_access"),
         spans_where(text.rlike(HEX), text, HEX).alias("__secret_hex"),
         F.filter(spans_where(text.rlike(RUN), text, RUN),
-                 lambda s: s["match"].rlike("[0-9]") & s["match"].rlike("[A-Za-z]")).alias("__secret_run"))
+                 lambda s: s["match"].rlike("[A-Za-z]")).alias("__secret_run"))
     scored = found.withColumn("__secret_run", F.transform("__secret_run", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), log_ratio(s["match"], weights).alias("ratio"))))
     kept = F.filter("__secret_run", lambda s: (s["ratio"] >= MIN_TOTAL) & (s["ratio"] >= MIN_MEAN * (s["end"] - s["start"])))

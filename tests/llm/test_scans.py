@@ -65,6 +65,33 @@ def test_held_out_strings_are_told_apart(spark, table, sample):
     assert sum(hits) / len(hits) > 0.97
 
 
+def test_random_runs_with_few_digits_or_none_are_found(spark):
+    """Recall by kind on strings of texts whose ids keep them out of the training sample; the other texts stay clean."""
+    import random
+    import string
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    assert docs.count() > secrets.ORDINARY_SAMPLE
+    kinds = {"mixed": string.ascii_letters, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase,
+             "one digit": string.ascii_letters, "alphanumeric": string.ascii_letters + string.digits}
+    last = spark.range(10**9, 10**9 + 5000).orderBy(F.xxhash64("id").desc()).limit(len(kinds)).collect()
+    rng, rows, want = random.Random(11), [], {}
+    for (doc,), (kind, letters) in zip(last, kinds.items()):
+        text, want[doc] = "keys:", set()
+        for n in [*range(16, 41, 4)] * 30:
+            key = [rng.choice(letters) for _ in range(n)]
+            if kind == "one digit":
+                key[rng.randrange(n)] = rng.choice(string.digits)
+            want[doc].add(f"markov:{len(text) + 1}:{len(text) + 1 + n}")
+            text += " " + "".join(key)
+        rows.append((doc, text))
+    found = {r["doc_id"]: set(r["spans"].split(",")) for r in secrets.digest(docs.union(spark.createDataFrame(rows, docs.schema))).collect()}
+    for (doc, _), kind in zip(rows, kinds):
+        assert len(want[doc] & found[doc]) >= 0.97 * len(want[doc]), kind
+    plain = [r["doc_id"] for r in docs.where("text not rlike '[0-9]'").collect()]
+    assert len(plain) > 100 and not any("markov" in s for i in plain for s in found[i])
+
+
 def test_redaction(table, edges):
     rows = edges + SECRETS
     docs = table(rows)
