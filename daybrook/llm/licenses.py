@@ -21,7 +21,10 @@ from daybrook.llm.spans import find_spans
 # fixed values: the base phrases and labels of the result definition
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # as defined, upper-case letters counted as letters
-GATE = r"(?i)licen[sc]e|copyright|copyleft|copying|spdx|public\W+domain|all\W+rights|creative\W+commons|cc" + NOT_WORD + "(?:by|zero|0)"
+# words or phrases (regexes over blank-separated words) one of which occurs wherever a rule matches
+GATES = ["licen[sc]e", "copyright", "copyleft", "copying", "spdx", "public domain", "all rights", "creative commons", "cc (?:by|zero|0|attribution)", "cc0",
+         "gnu gpl", "mit no attribution"]
+GATE = "(?i)" + "|".join(phrase.replace(" ", NOT_WORD) for phrase in GATES)
 
 # label: (keyword that must occur, name as a regex over blank-separated words)
 LICENSES = {

@@ -141,6 +141,44 @@ def test_license_rules_and_suppression(table):
     assert len(licenses.rules()) >= 250 and licenses.digest(table([(1, "x")]).where("false")).count() == 0
 
 
+def wordings(regex):
+    """Texts a rule's regex matches: every alternative, optional parts left out and taken."""
+    def of(parsed):
+        out = [""]
+        for op, arg in parsed:
+            op = str(op)
+            if op == "LITERAL":
+                more = [chr(arg)]
+            elif op == "IN":
+                more = [chr(v) if str(o) == "LITERAL" else chr(v[0]) if str(o) == "RANGE" else "x" for o, v in arg[:2]]
+            elif op == "BRANCH":
+                more = [t for branch in arg[1] for t in of(branch)]
+            elif op == "SUBPATTERN":
+                more = of(arg[3])
+            elif op == "MAX_REPEAT":
+                least, _, body = arg
+                more = [t * n for t in of(body) for n in (least, least + 1)]
+            elif op in ("ASSERT", "ASSERT_NOT"):
+                more = [""]
+            else:
+                raise ValueError(op)
+            out = list(dict.fromkeys(a + b for a in out for b in more))
+        return out
+    return of(re._parser.parse(regex))
+
+
+def test_license_rules_imply_the_gate(table):
+    gate = re.compile(licenses.GATE, re.A)
+    for label, _, regex, _, _ in licenses.rules():
+        for text in wordings(regex):
+            assert gate.search(text.strip()) and gate.search(text.strip().upper().replace(" ", "_")), (label, text)
+    rows = [(1, "This program is released under the GNU GPL version 2."), (2, "Dedicated under CC0 1.0"), (3, "mit no attribution"),
+            (4, "public_domain"), (5, "no notice here")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.digest(table(rows)).collect()}
+    assert [got[i][0].split("-2")[0] for i in range(1, 6)] == ["gpl", "cc0", "mit-0", "public-domain", ""]
+    assert all(got[i][1] > 0 for i in range(1, 5)) and got[5][1] == 0
+
+
 def test_scans_use_no_python(table, capsys):
     for df in (secrets.digest(table(SECRETS)), licenses.digest(table(LICENSES)), secrets.redact(table(SECRETS))):
         df.explain()
