@@ -2,8 +2,9 @@
 
 All of it is DataFrame code. Texts are cut into words (digits, letters and everything beyond ASCII, A-Z lowered). Texts
 without any gate word have no detections and are only counted. For the others the words, joined by blanks, are searched by
-the rules whose keyword occurs: every license of ``LICENSES`` in each phrasing of ``PHRASINGS``, some three hundred
-regexes in order of priority, besides the four base phrases. A detection whose word interval lies inside one of higher
+the rules whose keyword occurs: every license of ``LICENSES`` in each phrasing of ``PHRASINGS``, then the short names and the
+sentences of license texts of ``license_texts``, besides the four base phrases. Ids as in SPDX count behind an announcement
+(``CHAIN``), each operand of an expression by itself. A detection whose word interval lies inside one of higher
 rank (priority, then length, then label) is suppressed. ``score`` is the highest confidence of the detections that stay,
 0 without any.
 
@@ -13,24 +14,56 @@ repeat their result, null ids stay null. Empty tables give empty results. Only t
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybrook.llm.common import id_text
+from daybrook.llm.license_texts import IDS, SHORT, TEXTS
 from daybrook.llm.spans import find_spans
 
 # fixed values: the base phrases and labels of the result definition
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # as defined, upper-case letters counted as letters
+# what announces a license, and what may stand between the announcement and its name
+GRANT = r"(?:licensed|released|distributed|available|published|covered|provided|governed) under (?:the |an? )?(?:terms of (?:the )?)?"
+ANNOUNCED = rf"(?:{GRANT}|(?:spdx )?licen[sc]e (?:identifier |expression |id )?(?:the )?)"
+NAMES = "|".join(sorted((regex for _, regex, *_ in IDS + SHORT), key=len, reverse=True))  # mit 0 before mit
+# any number of operands; possessive, so that long expressions need no stack
+CHAIN = rf" {ANNOUNCED}(?:(?:{NAMES})(?: with(?: \w+){{1,6}}?)? (?:or|and) (?:the )?(?=(?:{NAMES}) ))*+(?:{NAMES})(?= )"
+
 # words or phrases (regexes over blank-separated words) one of which occurs wherever a rule matches
-GATES = ["licen[sc]e", "copyright", "copyleft", "copying", "spdx", "public domain", "all rights", "creative commons", "cc (?:by|zero|0|attribution)", "cc0",
+GATES = ["licen", "copyright", "copyleft", "copying", "spdx", "public domain", "all rights", "creative commons", "cc by", "cc zero", "cc 0", "cc attribution", "cc0",
          "gnu gpl", "mit no attribution"]
-GATE = "(?i)" + "|".join(phrase.replace(" ", NOT_WORD) for phrase in GATES)
+# where a word begins: what follows a short name, and the end of a sentence's phrase, are left open
+_END = rf"(?=[0-9v]|{NOT_WORD[:-1]}|\Z)"
+WORD_GATES = {gate: "" for _, _, gate in TEXTS if gate not in GATES} | {gate: _END for _, _, gate in SHORT}
+
+
+def _raw(regex: str) -> str:
+    """A regex over blank-separated words as one over the text."""
+    return regex.replace(" ?", "\0").replace(" ", NOT_WORD).replace("\0", f"(?:{NOT_WORD})?")
+
+
+def _trie(phrases: dict[str, str]) -> str:
+    """Plain phrases, each with what must follow it, as one regex that branches at each character: most places fail at once."""
+    if phrases.get("") == "":
+        return ""
+    heads: dict[str, dict[str, str]] = {}
+    for phrase, tail in phrases.items():
+        if phrase:
+            heads.setdefault(phrase[0], {})[phrase[1:]] = tail
+    parts = [_raw(head) + _trie(rest) for head, rest in sorted(heads.items())] + ([_raw(phrases[""])] if "" in phrases else [])
+    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+
+GATE = "(?i)" + _trie(dict.fromkeys(GATES, "")) + rf"|(?:\A|{NOT_WORD[:-1]})(?:{_trie(WORD_GATES)}|{_raw(GRANT)}(?:{_raw(NAMES)}){_END})"
 
 # label: (keyword that must occur, name as a regex over blank-separated words)
 LICENSES = {
-    "gpl-1": ("gnu", r"gnu general public licen[sc]e(?: v| version)? ?1(?: 0)?"),
-    "gpl-2": ("gnu", r"gnu general public licen[sc]e(?: v| version)? ?2(?: 0)?"),
-    "gpl-3": ("gnu", r"gnu general public licen[sc]e(?: v| version)? ?3(?: 0)?"),
+    "gpl-1": ("gnu", r"gnu (?:general public licen[sc]e|gpl)(?: v| version)? ?1(?: 0)?"),
+    "gpl-2": ("gnu", r"gnu (?:general public licen[sc]e|gpl)(?: v| version)? ?2(?: 0)?"),
+    "gpl-3": ("gnu", r"gnu (?:general public licen[sc]e|gpl)(?: v| version)? ?3(?: 0)?"),
     "gpl": ("gnu", r"gnu (?:general public licen[sc]e|gpl)"),
     "lgpl-2.1": ("lesser", r"gnu lesser general public licen[sc]e(?: v| version)? ?2 1"),
     "lgpl-3": ("lesser", r"gnu lesser general public licen[sc]e(?: v| version)? ?3(?: 0)?"),
@@ -49,7 +82,7 @@ LICENSES = {
     "bsd-3-clause": ("bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd) licen[sc]e"),
     "bsd-4-clause": ("bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[sc]e"),
     "bsd-0-clause": ("bsd", r"(?:zero clause bsd|bsd zero clause|0bsd) licen[sc]e"),
-    "bsd": ("bsd", r"(?:berkeley software distribution|bsd(?: style)?) licen[sc]e"),
+    "bsd": ("licen", r"(?:berkeley software distribution|bsd(?: style)?) licen[sc]e"),
     "isc": ("isc", r"isc licen[sc]e"),
     "mpl-1.1": ("mozilla", r"mozilla public licen[sc]e(?: v| version)? 1 1"),
     "mpl-2.0": ("mozilla", r"mozilla public licen[sc]e(?: v| version)? ?2(?: 0)?"),
@@ -75,12 +108,12 @@ LICENSES = {
     "w3c": ("w3c", r"w3c (?:software notice and )?licen[sc]e"),
     "unlicense": ("unlicense", r"(?:the )?unlicense"),
     "wtfpl": ("fuck", r"do what the fuck you want to public licen[sc]e"),
-    "cc0": ("cc", r"(?:cc ?0|cc zero|creative commons zero)(?: 1 0)?"),
-    "cc-by-nc-nd": ("nd", r"(?:cc|creative commons) (?:by nc nd|attribution noncommercial noderiv\w*)(?: [1-4] [05])?"),
-    "cc-by-nc-sa": ("sa", r"(?:cc|creative commons) (?:by nc sa|attribution noncommercial sharealike)(?: [1-4] [05])?"),
+    "cc0": ("c", r"(?:cc ?0|cc zero|creative commons zero)(?: 1 0)?"),
+    "cc-by-nc-nd": ("nc", r"(?:cc|creative commons) (?:by nc nd|attribution noncommercial noderiv\w*)(?: [1-4] [05])?"),
+    "cc-by-nc-sa": ("nc", r"(?:cc|creative commons) (?:by nc sa|attribution noncommercial sharealike)(?: [1-4] [05])?"),
     "cc-by-nc": ("nc", r"(?:cc by nc|creative commons attribution noncommercial)(?: [1-4] [05])?"),
-    "cc-by-nd": ("nd", r"(?:cc by nd|creative commons attribution noderiv\w*)(?: [1-4] [05])?"),
-    "cc-by-sa": ("sa", r"(?:cc by sa|creative commons attribution sharealike)(?: [1-4] [05])?"),
+    "cc-by-nd": ("c", r"(?:cc by nd|creative commons attribution noderiv\w*)(?: [1-4] [05])?"),
+    "cc-by-sa": ("c", r"(?:cc by sa|creative commons attribution sharealike)(?: [1-4] [05])?"),
     "cc-by": ("by", r"cc by(?: [1-4] [05])?"),
     "cc-attribution": ("creative", r"creative commons attribution(?: [1-4] [05])?"),
     "ms-pl": ("microsoft", r"microsoft public licen[sc]e"),
@@ -93,19 +126,46 @@ LICENSES = {
 }
 # priority, confidence, regex around a name: first come the phrasings that state a grant
 PHRASINGS = [
-    (6, 0.99, r"(?:licensed|released|distributed|available|published|covered|provided|governed) under (?:the |an? )?(?:terms of (?:the )?)?{}"),
+    (6, 0.99, GRANT + "{}"),
     (5, 0.95, r"(?:spdx licen[sc]e identifier|licen[sc]e identifier|licen[sc]e) (?:the )?{}"),
     (4, 0.9, r"(?:under|subject to|according to|in accordance with) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{}"),
     (3, 0.8, r"(?:copy|text|version|conditions|terms) of (?:the )?{}"),
     (2, 0.6, r"{}"),
 ]
 BASE_PRIORITY, BASE_CONFIDENCE = 1, 0.5
+TEXT_PRIORITY, TEXT_CONFIDENCE = 6, 0.98
+CHAIN_PRIORITY, CHAIN_CONFIDENCE = 5, 0.95
+SHORT_PRIORITY, SHORT_CONFIDENCE = 2, 0.6
+
+
+def _keyword(regex: str) -> str:
+    """The longest stretch of plain words in a regex without alternatives outside groups: it occurs in every match."""
+    while (bare := re.sub(r"\([^()]*\)[?*+]?(?:\{[^}]*\}\??)?", "\n", regex)) != regex:
+        regex = bare
+    return max(re.split(r"\n|\[[^\]]*\]|\\\w[*+?]?|[a-z0-9 ]\?", regex), key=len)
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
     """(label, keyword, regex, priority, confidence), highest priority first."""
-    return [(label, keyword, f" {phrase.format(name)}(?= )", priority, confidence)
-            for priority, confidence, phrase in PHRASINGS for label, (keyword, name) in LICENSES.items()]
+    named = [(label, keyword, f" {phrase.format(name)}(?= )", priority, confidence)
+             for priority, confidence, phrase in PHRASINGS for label, (keyword, name) in LICENSES.items()]
+    texts = [(label, _keyword(regex), f" {regex}(?= )", TEXT_PRIORITY, TEXT_CONFIDENCE) for label, regex, _ in TEXTS]
+    short = [(label, _keyword(regex), f" {regex}(?= )", SHORT_PRIORITY, SHORT_CONFIDENCE) for label, regex, _ in SHORT]
+    return sorted(texts + named + short, key=lambda r: -r[3])
+
+
+def _in_chains(line: Column) -> Column:
+    """Detections of each id or short name of the announced expressions."""
+    names = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(f" (?:{regex})(?= )(?! exception)").alias("regex"))
+                      for label, regex in IDS + [(label, regex) for label, regex, _ in SHORT]))
+
+    def of(chain: Column) -> Column:
+        inside = F.concat(chain["match"], F.lit(" "))
+        return F.flatten(F.transform(names, lambda n: F.transform(
+            _detections(find_spans(inside, n["regex"], _words), n["label"], F.lit(CHAIN_PRIORITY), F.lit(CHAIN_CONFIDENCE)),
+            lambda d: d.withField("start", d["start"] + chain["start"]).withField("end", d["end"] + chain["start"]))))
+
+    return F.flatten(F.transform(find_spans(line, CHAIN, _words), of))
 
 
 def _rule_table() -> Column:
@@ -152,6 +212,7 @@ def detect(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     fired = F.filter(_rule_table(), lambda r: line_col.contains(r["keyword"]))
     by_rule = F.flatten(F.transform(fired, lambda r: _detections(
         find_spans(line_col, r["regex"], _words), r["label"], r["priority"], r["confidence"])))
+    by_rule = F.concat(by_rule, _in_chains(line_col))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,priority:int,length:bigint,label:string,confidence:double>>")
     found = line.select("doc_id", "n_words", F.when(line_col.isNotNull(), base).otherwise(empty).alias("base"),
                         F.when(line_col.isNotNull(), by_rule).otherwise(empty).alias("by_rule"))

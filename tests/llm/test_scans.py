@@ -179,6 +179,35 @@ def test_license_rules_imply_the_gate(table):
     assert all(got[i][1] > 0 for i in range(1, 5)) and got[5][1] == 0
 
 
+def test_each_license_signature_finds_its_text(table):
+    texts, labels = [], []
+    for label, _, regex, _, _ in licenses.rules():
+        texts.append(max(wordings(regex), key=len))
+        labels.append(label)
+    for label, regex in licenses.IDS:
+        texts += [f"// SPDX-License-Identifier: {t}" for t in wordings(regex)]
+        labels += [label] * len(wordings(regex))
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.digest(table(list(enumerate(texts)))).collect()}
+    assert [(texts[i], label, got[i]) for i, label in enumerate(labels) if label not in got[i]] == []
+
+
+NOTICES = [
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"), ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"), ("Licensed under GPLv3", "gpl-3"), ("released under MIT", "mit"), ("GNU GPL, version 2", "gpl-2"),
+    ('"license": "MIT OR Apache-2.0"', "apache-2.0,mit"), ("SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0 OR MIT) AND ISC", "gpl-2,isc,mit"),
+    ("SPDX-License-Identifier: GPL-2.0 WITH OpenSSL-exception OR ISC and more", "gpl-2,isc"), ("licensed under MIT and something else", "mit"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit"), ("Redistribution and use in source and binary forms", "bsd"),
+    ("Neither the name of the University nor the names of its contributors", "bsd-3-clause"), ("under LGPL 2.1 or later", "lgpl-2.1"),
+    ("Isc and zlib are words, so is mit; the Apache web server, Ruby and JSON", ""), ("license mit" + " or mit" * 2_000 + " or isc", "isc,mit"),
+]
+
+
+def test_common_license_notices(table):
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.digest(table([(i, t) for i, (t, _) in enumerate(NOTICES)])).collect()}
+    assert [got[i][0] for i in range(len(NOTICES))] == [labels for _, labels in NOTICES]
+    assert all((got[i][1] > 0) == bool(labels) for i, (_, labels) in enumerate(NOTICES))
+
+
 def test_scans_use_no_python(table, capsys):
     for df in (secrets.digest(table(SECRETS)), licenses.digest(table(LICENSES)), secrets.redact(table(SECRETS))):
         df.explain()
