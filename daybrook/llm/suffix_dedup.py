@@ -9,7 +9,8 @@ equal anchors at equal places, so they meet wherever strings are brought togethe
    back the anchors that occur in another document.
 3. For these, a pack sends the *context*: the bytes of all strings the anchor stands for. Copies of a context inside a
    pack are settled there (only the smallest id's goes on), so a passage found in a third of all documents sends one
-   context per pack.
+   context per pack. An anchor in more than ``HOT_PLACES`` places (a phrase with other words around it) would gather all its
+   contexts in one task: its strings are sent one by one and meet by their own hash as well, so any number is dealt evenly.
 4. In a shard, copies of a context are settled likewise; the distinct ones form a text whose suffix array (starts: the
    strings' starts) and common prefixes are scanned with a stack. Every common-prefix interval of ``LENGTH`` or more whose
    occurrences are preceded by different bytes is a maximal repeat group; all its occurrences but those of the smallest
@@ -24,6 +25,7 @@ shorter than ``LENGTH`` lose nothing; texts of any length are read whole. Empty
 from __future__ import annotations
 
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ PACK_BYTES = 4_000_000
 SEGMENT_BYTES = 1_000_000    # text hashed at a time
 ANCHORS_PER_SHARD = 1_000_000
 CONTEXTS_PER_SHARD = 100_000
+HOT_PLACES = 20_000
 _PLACE = (1 << 28) - 1
 
 
@@ -166,7 +169,10 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def repeated_anchors(packs: DataFrame, shards: int) -> DataFrame:
-    """(pack, shard, hits, keys): per pack the short keys of its anchors that occur in more than one document."""
+    """(pack, shard, hits, keys): per pack the short keys of its anchors that occur in more than one document, and which are hot.
+
+    ``hits`` bounds the contexts (hot anchors: strings) the pack will send for them.
+    """
     def spread(batches):
         for batch in batches:
             for pack, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -174,38 +180,41 @@ def repeated_anchors(packs: DataFrame, shards: int) -> DataFrame:
                 order = np.lexsort((row, key))
                 row, key = row[order], key[order]
                 first = np.append(True, key[1:] != key[:-1])[:len(key)]
-                several = np.zeros(len(key), bool)
+                several = np.zeros(len(key), np.uint32)
                 several[1:] = (key[1:] == key[:-1]) & (row[1:] != row[:-1])
-                keys = key[first]
-                several = np.logical_or.reduceat(several, np.flatnonzero(first)) if len(keys) else several
+                keys, at = key[first], np.flatnonzero(first)
+                # places of each key, doubled; odd if they are in several documents
+                places = 2 * np.diff(np.append(at, len(key))) + np.maximum.reduceat(several, at) if len(keys) else at
                 shard = _shard(keys, shards)
                 cells = [(s, shard == s) for s in np.unique(shard)] if shards < 64 else _groups(shard)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(s) for s, _ in cells], pa.int64()), pa.array([pack] * len(cells), pa.int64()),
-                     pa.array([_pack_arrays(_short(keys[at]), several[at].astype(np.uint8)) for _, at in cells], pa.binary())],
+                     pa.array([_pack_arrays(_short(keys[at]), places[at].astype(np.uint32)) for _, at in cells], pa.binary())],
                     names=["shard", "pack", "cell"])
 
     def meet(key, table):
         packs_here = table.column("pack").to_pylist()
-        cells = [_unpack_arrays(c, np.uint8, np.uint8) for c in table.column("cell").to_pylist()]
+        cells = [_unpack_arrays(c, np.uint8, np.uint32) for c in table.column("cell").to_pylist()]
         keys = [_long(k) for k, _ in cells]
         every = np.concatenate(keys)
-        several = np.concatenate([s for _, s in cells]).astype(bool)
+        places = np.concatenate([p for _, p in cells]).astype(np.int64)
         order = np.argsort(every, kind="stable")
         ordered = every[order]
-        twin = ordered[1:] == ordered[:-1]
-        hit = several[order]
-        hit[1:] |= twin
-        hit[:-1] |= twin
-        # a key seen in several documents of one pack only is marked there already
-        marked = np.empty(len(every), bool)
-        marked[order] = hit
+        edge = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
+        # of each key over all packs: is it in several documents, in how many places
+        size = np.diff(np.append(edge, len(every)))
+        shared, total = np.empty(len(every), bool), np.empty(len(every), np.int64)
+        if len(edge):
+            shared[order] = np.repeat((size > 1) | (np.maximum.reduceat(places[order] & 1, edge) > 0), size)
+            total[order] = np.repeat(np.add.reduceat(places[order] >> 1, edge), size)
         out, at = [], 0
         for pack, k in zip(packs_here, keys):
-            mine = k[marked[at:at + len(k)]]
+            mine, here = shared[at:at + len(k)], places[at:at + len(k)] >> 1
+            hot = total[at:at + len(k)][mine] > HOT_PLACES
             at += len(k)
-            if len(mine):
-                out.append((pack, len(mine), _pack_arrays(_short(mine))))
+            if mine.any():
+                sent = int((here[mine] * np.where(hot, WINDOW, 1)).sum())
+                out.append((pack, sent, _pack_arrays(_short(k[mine]), hot.astype(np.uint8))))
         return pa.table({"pack": pa.array([p for p, _, _ in out], pa.int64()), "shard": pa.array([key[0].as_py()] * len(out), pa.int64()),
                          "hits": pa.array([h for _, h, _ in out], pa.int64()), "keys": pa.array([k for _, _, k in out], pa.binary())})
 
@@ -226,15 +235,27 @@ def contexts(packs: DataFrame, repeated: DataFrame, shards: int, groups: int) ->
         if not (pack_rows.num_rows and key_rows.num_rows):
             return pa.table(empty)
         pack = Pack(pack_rows.column("blob")[0].as_py())
-        wanted = {s: _long(_unpack_arrays(k, np.uint8)[0]) for s, k in zip(key_rows.column("shard").to_pylist(), key_rows.column("keys").to_pylist())}
+        wanted = {s: _unpack_arrays(k, np.uint8, np.uint8) for s, k in zip(key_rows.column("shard").to_pylist(), key_rows.column("keys").to_pylist())}
         row, start, count, keys = pack.anchors()
-        hit = np.zeros(len(keys), bool)
+        hit, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         for s, at in _groups(_shard(keys, shards)):
             if s in wanted:
-                hit[at] = np.isin(keys[at] & np.uint64((1 << 40) - 1), wanted[s])
-        row, start, count, keys = row[hit], start[hit], count[hit], keys[hit]
-        begin = pack.offsets[row] + start
+                short, theirs, is_hot = keys[at] & np.uint64((1 << 40) - 1), _long(wanted[s][0]), wanted[s][1].astype(bool)
+                hit[at] = np.isin(short, theirs)
+                if is_hot.any():
+                    hot[at] = np.isin(short, theirs[is_hot])
         raw = pack.raw.tobytes()
+        if hot.any():  # their strings one by one, by anchor and own hash
+            parent = np.repeat(np.flatnonzero(hot), count[hot])
+            string = start[parent] + np.arange(len(parent)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
+            own = np.array([zlib.crc32(raw[b:b + LENGTH]) for b in (pack.offsets[row[parent]] + string).tolist()], np.uint64)
+            hit &= ~hot
+            row, start, keys, count = (np.concatenate(x) for x in (
+                (row[hit], row[parent]), (start[hit], string), (keys[hit], mix64(keys[parent] ^ mix64(own + np.uint64(1)))),
+                (count[hit], np.ones(len(parent), count.dtype))))
+        else:
+            row, start, count, keys = row[hit], start[hit], count[hit], keys[hit]
+        begin = pack.offsets[row] + start
         ids = pack.ids
         # copies inside the pack: the smallest id's places go on, the others are settled
         places: dict[bytes, list[int]] = {}

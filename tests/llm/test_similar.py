@@ -138,6 +138,26 @@ def test_suffix_dedup(table, sample, edges, monkeypatch, seed, tight):
     assert suffix_dedup.digest(table(rows).where("false")).count() == 0
 
 
+def test_contexts_of_a_common_phrase_are_dealt_out(table, monkeypatch):
+    """A phrase with other words around it: no key gathers its contexts, and results stay exact."""
+    for name, value in (("PACK_BYTES", 3000), ("HOT_PLACES", 8), ("CONTEXTS_PER_SHARD", 50)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(4)
+    words = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(i, words(60) + " a phrase of about thirty byte " + words(60)) for i in range(150)]
+    rows += [(150 + i, words(20) + rows[i][1][10:130] + words(20)) for i in range(30)] + [(None, rows[3][1]), (7, rows[5][1])]
+    assert by_id(suffix_dedup.digest(table(rows))) == plain_suffix(rows)
+    packs = suffix_dedup.pack_documents(table(rows).select("doc_id", "text"))
+    repeated = suffix_dedup.repeated_anchors(packs, 2)
+    texts = {}
+    for r in suffix_dedup.contexts(packs, repeated, 2, 4).where("kind = 1").collect():
+        _, keys, count, _, _, _, raw = suffix_dedup._unpack_arrays(r["cell"], np.int64, np.uint64, np.int32, np.int32, np.int32, np.int32, np.uint8)
+        ends = np.cumsum(count + suffix_dedup.LENGTH - 1)
+        for key, b, e in zip(keys.tolist(), [0, *ends.tolist()], ends.tolist()):
+            texts.setdefault(key, set()).add(raw[b:e].tobytes())
+    assert texts and max(map(len, texts.values())) <= 8
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_repeat_groups_are_maximal(seed):
     """Against all pairs: groups of a text over two letters."""
