@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from daybrook.llm import ann, chunk_bpe, jaccard, licenses, line_dedup, packing, quality, secrets, suffix_dedup, token_files
+from daybrook.llm import (ann, chunk_bpe, dialogue, jaccard, licenses, line_dedup, packing, quality, secrets, signatures,
+                          spelling, suffix_dedup, token_files)
 from daybrook.llm.common import documents, embeddings
 
 
@@ -30,6 +31,9 @@ QUERIES = {
     "op8_token_files": lambda spark, sf: token_files.digest(documents(spark, sf), vocabulary(WORDS)),
     "op9_best_fit_packing": lambda spark, sf: packing.digest(documents(spark, sf), vocabulary(BYTES)),
     "op10_line_dedup": lambda spark, sf: line_dedup.digest(documents(spark, sf)),
+    "op11_conversation_repair": lambda spark, sf: dialogue.digest(dialogue.conversations(spark, sf)),
+    "op12_spelling_variants": lambda spark, sf: spelling.digest(documents(spark, sf)),
+    "op13_minhash_dedup": lambda spark, sf: signatures.assign(documents(spark, sf)),
 }
 
 # fixed values: the character classes of the result definitions
