@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from daybrook.catalog import inputs as I
 from daybrook.catalog.entry import query
+from daybrook.functions import columns as C
 from daybrook.operators import dedup
 from daybrook.operators.events import type_rows
 from daybrook.plans import curate, lineage, profile as P, stage
@@ -162,13 +163,15 @@ def findings(spark, sf):
     return P.findings(raw, I.raw_part_categories(spark, sf), I.transcripts(spark, sf), I.daily_events(spark, sf))
 
 
-def layer_counts(spark, sf):
+def layer_counts(spark, sf, lost=None):
+    """Counts of every layer; the curated events lack the date ``lost``."""
     raw = materialize(I.raw_interactions(spark, sf), "raw")
     staged = materialize(stage.stage_events(raw), "staged")
     feats = materialize(curate.daily_features(staged), "features")
     pairs = materialize(stage.stage_category_pairs(raw), "pairs")
     files, lookup = I.transcripts(spark, sf), I.raw_categories(spark, sf)
     dup = materialize(dedup.duplicate_stats(raw), "duplicates")
+    facts = curate.curated_events(staged if lost is None else staged.where(C.date_to_label("p_date") != lost))
     n = F.count(F.lit(1)).alias("n")
     seen = type_rows(raw, EVENT_KEY + ["p_date"]).distinct()
     return lineage.layer_counts({
@@ -185,7 +188,7 @@ def layer_counts(spark, sf):
         ("staging", "video_category_pairs"): pairs.agg(n),
         ("staging", "categories"): stage.stage_categories(lookup).agg(n),
         ("staging", "transcripts"): stage.stage_transcripts(files).agg(n),
-        ("curated", "interactions_curated"): curate.curated_events(staged).agg(n),
+        ("curated", "interactions_curated"): facts.agg(n),
         ("curated", "daily_user_features"): feats.agg(n),
         ("curated", "feature_events"): feats.agg(F.sum("n_events")),
         ("curated", "users"): curate.dim_users(staged).agg(n),
@@ -218,10 +221,12 @@ SELECT layer, name, CAST(n AS BIGINT) AS n FROM (
 query("lineage_counts", _COUNTS)(layer_counts)
 
 
-@query("lineage_problems", f"SELECT 'none' AS rule, CAST(0 AS BIGINT) AS difference FROM ({_COUNTS}) WHERE n < 0")
+@query("lineage_problems", """
+SELECT rule, difference FROM (SELECT count(*) AS difference FROM staged WHERE p_date = DATE '1997-01-01'),
+       (VALUES ('curated equals staged'), ('features cover events')) r(rule)""")
 def lineage_problems(spark, sf):
-    """Consistency rules between the layers that do not hold: none."""
-    return lineage.consistency_problems(materialize(layer_counts(spark, sf), "counts"))
+    """The rules that a curated layer breaks which lost a date."""
+    return lineage.consistency_problems(materialize(layer_counts(spark, sf, lost="19970101"), "counts"))
 
 
 @query("lineage_consistency", f"""

@@ -135,12 +135,12 @@ def unexpected_values_top5(spark, sf):
 
 
 @query("orphan_ids_first10", """
-SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS category_id FROM lineitem
-WHERE l_suppkey NOT IN (SELECT n_nationkey FROM nation) ORDER BY 1 LIMIT 10""")
+SELECT DISTINCT CAST(l_partkey AS BIGINT) AS category_id FROM lineitem
+WHERE l_partkey NOT IN (SELECT n_nationkey FROM nation) ORDER BY 1 LIMIT 10""")
 def orphan_ids_first10(spark, sf):
-    """Supplier numbers used as category ids against the 25-id lookup: the ten smallest unknown ones."""
+    """Part numbers used as category ids against the 25-id lookup: the ten smallest unknown ones."""
     rows = I.table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("category_id"), F.date_format("l_shipdate", "yyyyMMdd").alias(PART))
+        F.col("l_partkey").cast("string").alias("category_id"), F.date_format("l_shipdate", "yyyyMMdd").alias(PART))
     return gates.first_orphans(rows, I.raw_categories(spark, sf))
 
 

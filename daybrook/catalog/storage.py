@@ -31,6 +31,17 @@ def csv_quoted_roundtrip(spark, sf):
     return R.good_rows(R.read_quoted_csv(spark, path, d.columns))
 
 
+@query("csv_parallel_quoted", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS title, lang, source FROM documents""")
+def csv_parallel_quoted(spark, sf):
+    """The same cells, with line breaks inside, when every file is read by as many tasks as it has blocks."""
+    d = I.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("title"), "lang", "source")
+    path = work_path(spark, "csv")
+    d.write.options(**R.CSV_WRITE).csv(path)
+    return R.good_rows(R.read_split_csv(spark, path, d.columns))
+
+
 @query("csv_malformed_counts", """
 SELECT CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS source, o_orderstatus <> 'O' AS malformed,
        count(*) AS n_rows FROM orders GROUP BY ALL""")

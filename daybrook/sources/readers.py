@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from daybrook.functions import columns as C
 from daybrook.schemas import CATEGORY_COLUMNS, LOG_SCHEMA, RAW_COLUMNS, text_schema
+from daybrook.sources import parallel_csv
 
 CORRUPT = "_corrupt_record"
 PART = "part_date"
@@ -57,8 +58,8 @@ def read_quoted_csv(spark: SparkSession, path, columns, header=True, extra=(), b
     """Quoted CSV, every value verbatim text, plus ``_corrupt_record`` for rows with another field count.
 
     ``path`` is a path or a list of files that share these columns in this order; ``extra`` names directory columns
-    below ``base``. Quoted line breaks make a file unsplittable: files are the unit of parallelism, so a large source
-    must be delivered as many files. Read it once, land it by date, and read the landed copy afterwards.
+    below ``base``. Quoted line breaks make a file unsplittable here: one file is one task, in file order. Large sources
+    are read by ``read_split_csv``.
     """
     schema = T.StructType(text_schema([*columns, *extra]).fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (
@@ -67,9 +68,16 @@ def read_quoted_csv(spark: SparkSession, path, columns, header=True, extra=(), b
     return (reader.option("basePath", base) if base else reader).csv(path)
 
 
-def read_delivered_csv(spark: SparkSession, path, headers, extra=()) -> DataFrame:
+def read_split_csv(spark: SparkSession, path, columns, header=True) -> DataFrame:
+    """The rows of ``read_quoted_csv``, with every file read by as many tasks as it has blocks; in no particular order."""
+    return parallel_csv.parse(parallel_csv.records(spark, path, header), columns, CORRUPT, QUOTED_CSV)
+
+
+def read_delivered_csv(spark: SparkSession, path, headers, extra=(), split=False) -> DataFrame:
     """All files of a source, each read by its own header (``csv_headers``), as one table.
 
+    With ``split`` a file is read by many tasks; its quotes have to be those of the format (``parallel_csv``).
+
     Known columns come in contract order, then unknown ones by name. Empty cells are ``''``; a column that a row's file
     does not have is null, which is how the raw gate tells a missing column from an empty cell. Malformed rows keep
     their ``_corrupt_record``.
@@ -79,7 +87,10 @@ def read_delivered_csv(spark: SparkSession, path, headers, extra=()) -> DataFram
     parts = []
     for columns, files in headers:
         where, base = (path, None) if len(headers) == 1 else ([unquote(f) for f in files], path)
-        rows = read_quoted_csv(spark, where, columns, extra=extra, base=base if extra else None).na.fill("", columns)
+        if split and not extra:
+            rows = read_split_csv(spark, where, columns).na.fill("", columns)
+        else:
+            rows = read_quoted_csv(spark, where, columns, extra=extra, base=base if extra else None).na.fill("", columns)
         parts.append(rows.select(*[F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in order], *extra, CORRUPT))
     return reduce(DataFrame.unionByName, parts)
 
