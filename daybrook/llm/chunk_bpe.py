@@ -1,7 +1,7 @@
 """BPE encoding by content-defined chunk reuse, and decoding.
 
 A rolling hash over the bytes marks chunk borders, so equal passages are cut alike wherever they stand. A chunk is encoded
-once per worker and kept in a bounded cache; later documents take its ids. A border may fall anywhere, also inside a word,
+once per worker and kept, under a 128-bit digest and its length, in a cache bounded in bytes; later documents take its ids. A border may fall anywhere, also inside a word,
 so each join is repaired: the units that meet there are encoded together, and the zone grows until encoding it jointly
 with one more unit on each side gives exactly the ids that the parts have. Texts too short to be cut, or whose white
 space is not all ASCII, are encoded whole.
@@ -9,7 +9,7 @@ space is not all ASCII, are encoded whole.
 Sharing is per worker, not across the cluster: exchanging every chunk's text to encode it once in all would move more
 bytes than the encoding costs.
 
-Null texts are empty and have no ids. Repeated rows are encoded row by row, null ids stay null. Special tokens' strings in
+Null texts are empty and have no ids. Texts of any length are encoded whole. Extra columns are left behind. Repeated rows are encoded row by row, null ids stay null. Special tokens' strings in
 a text become their ids, as in the library. Empty tables give empty results.
 """
 
@@ -19,16 +19,18 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from daybrook.llm.bpe_units import BYTE_CHARS, UnitEncoder, encoder
+from daybrook.llm.bpe_units import BYTE_CHARS, UnitEncoder, after_blank, encoder
 from daybrook.llm.common import id_text, mix64, texts_of
 
 WINDOW = 16          # bytes in the rolling hash
 MASK_BITS = 10       # a border about every 1024 bytes
 MIN_CHUNK = 64       # bytes
 EDGE = 3             # units kept apart at each end of a chunk, for the joins
-CACHE_CHUNKS = 6_000   # per generation and worker, some kilobytes each
+CACHE_BYTES = 32 << 20  # of chunks per worker, both generations
+CHUNK_BYTES = 1_500  # a chunk's key, its units at both ends with their ids, and its share of the table, about
 
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -62,27 +64,34 @@ class ChunkEncoder:
 
     def __init__(self, units: UnitEncoder):
         self.units = units
-        self.young: dict[bytes, tuple] = {}
-        self.old: dict[bytes, tuple] = {}
-        self.reused = self.encoded = 0
+        self.young: dict[tuple, tuple] = {}
+        self.old: dict[tuple, tuple] = {}
+        self.reused = self.encoded = self.held = 0
 
-    def _chunk(self, text: bytes):
+    def _chunk(self, text: bytes, single_spaced: bool):
         """(first units, their ids, ids between, last units, their ids), or None for a chunk of too few units."""
-        found = self.young.get(text)
-        if found is None and text in self.old:
-            found = self.young[text] = self.old[text]
-        if found is None:
-            self.encoded += 1
+        key = xxhash.xxh3_128_intdigest(text), len(text)
+        found = self.young.get(key) or self.old.get(key)
+        if found is not None:
+            self.reused += 1
+            return found
+        self.encoded += 1
+        if single_spaced:
+            first, *keys = self.units.keys(text)
+            if len(keys) < 2 * EDGE:
+                return None
+            ids = self.units.even_ids(text)
+            head, last = [first, *map(after_blank, keys[:EDGE - 1])], list(map(after_blank, keys[-EDGE:]))
+        else:
             units = self.units.split(text)
             if len(units) < 2 * EDGE:
                 return None
-            ids = self.units.ids(units)
-            found = (units[:EDGE], ids[:EDGE], b"".join(ids[EDGE:-EDGE]), units[-EDGE:], ids[-EDGE:])
-            if len(self.young) > CACHE_CHUNKS:
-                self.young, self.old = {}, self.young
-            self.young[text] = found
-        else:
-            self.reused += 1
+            ids, head, last = self.units.ids(units), units[:EDGE], units[-EDGE:]
+        found = (head, ids[:EDGE], b"".join(ids[EDGE:-EDGE]), last, ids[-EDGE:])
+        self.held += len(found[2]) + CHUNK_BYTES
+        if self.held > CACHE_BYTES // 2:
+            self.young, self.old, self.held = {}, self.young, len(found[2]) + CHUNK_BYTES
+        self.young[key] = found
         return found
 
     def _joint(self, units: list[bytes]) -> bytes:
@@ -99,13 +108,14 @@ class ChunkEncoder:
         cuts = borders(text)
         if not cuts or not self.units.separable(text):
             return self.units.encode(text)
+        single_spaced = self.units.single_spaced(text)
         out: list[bytes] = []
         tail_units: list[bytes] = []  # of the last chunk, not yet written
         tail_ids: list[bytes] = []
         start = 0
         held = b""  # text of chunks too poor in units, carried into the next one
         for end in [*cuts, len(text)]:
-            chunk = self._chunk(held + text[start:end])
+            chunk = self._chunk(held + text[start:end], single_spaced)
             if chunk is None:
                 held, start = held + text[start:end], end
                 continue

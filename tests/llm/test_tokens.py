@@ -37,12 +37,31 @@ def test_units_equal_the_library(both, texts):
 
 
 def test_unit_cache_is_bounded(texts, monkeypatch):
-    monkeypatch.setattr(bpe_units, "CACHE_UNITS", 50)
-    monkeypatch.setattr(bpe_units, "CACHE_WORDS", 50)
+    monkeypatch.setattr(bpe_units, "CACHE_BYTES", 100 * bpe_units.ENTRY_BYTES)
     path = vocabulary(BYTES)
     encoder, library = bpe_units.UnitEncoder(path, True), Tokenizer.from_file(path)
     for t in texts[:60]:
         assert np.frombuffer(encoder.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert max(len(c) + len(c.old) for c in (encoder.common, encoder.others)) <= 100
+
+
+def test_chunk_cache_is_bounded(texts, monkeypatch):
+    monkeypatch.setattr(chunk_bpe, "CACHE_BYTES", 40 * chunk_bpe.CHUNK_BYTES)
+    chunks, library = chunk_bpe.ChunkEncoder(bpe_units.UnitEncoder(vocabulary(BYTES), True)), Tokenizer.from_file(vocabulary(BYTES))
+    for t in texts[:150] * 2:
+        assert np.frombuffer(chunks.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert len(chunks.young) + len(chunks.old) <= 40
+
+
+def test_texts_of_several_megabytes(table):
+    """One text of 3 MB with a passage that repeats, beside short ones, through encoding and packing."""
+    words = [f"w{k * 7919 % 5003}{'.' * (k % 11 == 0)}" for k in range(400_000)]
+    rows = [(1, " ".join(words)), (2, "short"), (3, "x" * 500_000), (4, "\n\n  " * 50_000)]
+    library = Tokenizer.from_file(vocabulary(BYTES))
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    assert {r["doc_id"]: r["n_tokens"] for r in chunk_bpe.digest(table(rows), vocabulary(BYTES)).collect()} == want
+    pieces = packing.digest(table(rows), vocabulary(BYTES)).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in pieces} == {i: n + 1 for i, n in want.items()}
 
 
 @pytest.mark.parametrize("bits", [4, 7, 10])
