@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from daybrook.llm import signatures
+from daybrook.llm import groups, signatures
 from tests.llm.conftest import by_id
 
 
@@ -39,12 +39,12 @@ def plain(rows):
     return sorted(out, key=repr)
 
 
-def near_rows(seed, groups=6, copies=14):
+def near_rows(seed, families=6, copies=14):
     """Groups whose members drift from a common text by different amounts, around the threshold; and a shared passage."""
     rng, rows = random.Random(seed), []
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
     passage = [word() for _ in range(60)]
-    for _ in range(groups):
+    for _ in range(families):
         base = [word() for _ in range(rng.choice([3, 12, 60, 150]))]
         for _ in range(copies):
             own = list(base)
@@ -61,9 +61,9 @@ def near_rows(seed, groups=6, copies=14):
 def test_components(table, edges, monkeypatch, seed, tight):
     if tight:  # every list and group in several cells
         monkeypatch.setattr(signatures, "LIST", 6)
-        monkeypatch.setattr(signatures, "GROUP", 400)
+        monkeypatch.setattr(groups, "GROUP", 400)
         monkeypatch.setattr(signatures, "BLOCK", 2000)
-        monkeypatch.setattr(signatures, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(groups, "BROADCAST_ROWS", 0)
     rows = near_rows(seed) + edges
     assert by_id(signatures.assign(table(rows))) == plain(rows)
 
@@ -86,7 +86,7 @@ def test_large_group_yields_few_rows(table):
     # every direct link stays inside a component
     assert all(got[a] == got[b] for a in range(0, 1500, 50) for b in range(1500)
                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
-    forest = signatures._spanning(1500, lambda x, rest: np.ones(len(rest), bool))
+    forest = groups.spanning(1500, lambda x, rest: np.ones(len(rest), bool))
     assert len(forest) == 1499
 
 
