@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from daybrook.llm import ann, components, jaccard, suffix_dedup
+from daybrook.llm import ann, components, groups, jaccard, suffix_dedup
 from tests.llm.conftest import by_id
 
 
@@ -58,9 +58,9 @@ def near_rows(seed, groups=6, copies=14):
 
 @pytest.mark.parametrize("seed, tight", [(1, False), (2, True)])
 def test_jaccard_components(table, sample, edges, monkeypatch, seed, tight):
-    if tight:  # many blocks, hot blocks, long columns, no broadcast
-        for name, value in (("BLOCK", 300), ("LONG", 3), ("BROADCAST_ROWS", 0), ("PRODUCTS_PER_ENTRY", 0)):
-            monkeypatch.setattr(jaccard, name, value)
+    if tight:  # many blocks, frequent shingles, groups in cells, no broadcast
+        for module, name, value in ((jaccard, "BLOCK", 60), (groups, "GROUP", 400), (groups, "BROADCAST_ROWS", 0)):
+            monkeypatch.setattr(module, name, value)
     rows = edges + [(900 + i, "Same WORDS here") for i in range(3)] + [(910, "same words here"), (911, "same words there")]
     rows += [(1000 + i, t) for i, t in near_rows(seed)] + sample + sample[:2]
     assert by_id(jaccard.assign(table(rows))) == plain_components(rows)
@@ -71,16 +71,42 @@ def test_jaccard_links_and_filter(table):
     docs = table(rows)
     sets = dict((i, shingle_set(t)) for i, t in rows)
     rows_out, nodes, links = jaccard.join(docs)
-    rep = {r["node"]: r["rep"] for r in nodes.collect()}
+    rep = {r["id"]: r["rep"] for r in nodes.collect()}
     for r in links.collect():
         x, y = sets[rep[r["a"]]], sets[rep[r["b"]]]
         assert 100 * len(x & y) >= 75 * len(x | y)
     want = [i for i, _, c in plain_components(rows) if i == c]
     kept = jaccard.keep_first(docs)
     assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    clash = docs.selectExpr("*", "1 AS __loser", "2 AS node", "3 AS component_id", "4 AS label")
+    assert jaccard.keep_first(clash).columns == clash.columns and jaccard.keep_first(clash).count() == kept.count()
     assert jaccard.assign(docs.where("false")).count() == 0 and jaccard.keep_first(docs.where("false")).count() == 0
 
 
+def test_unlinked_texts_that_share_a_passage(table):
+    """The passage is half of each text: no links, however many texts hold it, and few rows on the way."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(30)] + passage + [word() for _ in range(rng.randrange(20, 30))])) for i in range(400)]
+    rows += [(1000 + i, " ".join(rows[i][1].split()[:-2])) for i in range(0, 400, 20)]
+    assert by_id(jaccard.assign(table(rows))) == plain_components(rows)
+
+
+def test_prefix_bounds_hold():
+    """For random linked sets in a common order the shared prefix shingles reach both nodes' bounds."""
+    rng = random.Random(12)
+    for _ in range(3000):
+        n = rng.randrange(1, 60)
+        x = set(rng.sample(range(200), n))
+        y = set(rng.sample(sorted(x), rng.randrange(max(1, n * 3 // 4), n + 1))) | set(rng.sample(range(200, 400), rng.randrange(0, n // 4 + 1)))
+        if 100 * len(x & y) < 75 * len(x | y):
+            continue
+        heads = [set(sorted(s)[:int(jaccard.prefix_size(len(s), jaccard.extra(len(s))))]) for s in (x, y)]
+        shorts = [set(sorted(s)[:int(jaccard.prefix_size(len(s)))]) for s in (x, y)]
+        assert len(heads[0] & heads[1]) >= max(jaccard.shared_bound(len(s)) for s in (x, y)) and shorts[0] & shorts[1]
+
+
 def test_a_chain_is_one_component(spark):
     n = 60
     edges = [(i, i + 1) for i in range(n)] + [(100, 200), (200, 150), (7, 7)]
