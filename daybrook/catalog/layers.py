@@ -13,7 +13,7 @@ from daybrook.schemas import EVENT_KEY, RAW_COLUMNS
 
 @query("exact_dedup", "SELECT DISTINCT * FROM raw")
 def exact_dedup(spark, sf):
-    return dedup.drop_exact_duplicates(I.raw_interactions(spark, sf))
+    return dedup.drop_exact_duplicates(I.landed_raw(spark, sf))
 
 
 @query("duplicate_share", """
@@ -22,13 +22,13 @@ SELECT p_date, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS distinct_rows,
        CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS exact_duplicate_share
 FROM (SELECT *, count(*) AS n FROM raw GROUP BY ALL) GROUP BY p_date""")
 def duplicate_share(spark, sf):
-    return dedup.duplicate_stats(I.raw_interactions(spark, sf), ["p_date"])
+    return dedup.duplicate_stats(I.landed_raw(spark, sf), ["p_date"])
 
 
 @query("typed_events", """
 SELECT * EXCLUDE (owner, category_id, tag_name) FROM typed""")
 def typed_events(spark, sf):
-    d = dedup.drop_exact_duplicates(I.raw_interactions(spark, sf))
+    d = dedup.drop_exact_duplicates(I.landed_raw(spark, sf))
     return E.type_rows(d, [c for c in RAW_COLUMNS if c not in (
         "category_id", "category_level", "parent_id", "root_id", "tag_name")])
 

@@ -1,21 +1,80 @@
-"""Exact duplicates and key uniqueness. Every group is combined map-side before it is shuffled."""
+"""Exact duplicates and key uniqueness.
 
-from pyspark.sql import DataFrame, functions as F
+Duplicates are looked for by fingerprint: 128 bits of each row are counted first, combined map-side, and only rows whose
+fingerprint occurs more than once are moved and compared in full. A false match costs a comparison, never a result.
+"""
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from daybrook.session import materialize
+
+PRINT = ("_print_1", "_print_2")
+# 16-byte fingerprints, counted first, up to which the repeated ones are sent to all tasks; beyond, rows are shuffled by fingerprint
+BROADCAST_PRINTS = 500_000
+
+
+def fingerprint(columns) -> list[Column]:
+    """Two 64-bit hashes of a row. Null is told from every value by its place."""
+    parts = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return [F.xxhash64(F.lit(seed), *order).alias(name) for seed, order, name in ((1, parts, PRINT[0]), (2, parts[::-1], PRINT[1]))]
+
+
+def repeated_prints(df: DataFrame) -> DataFrame:
+    """The fingerprints of more than one row, stored: two numbers a row are all that is shuffled for the others."""
+    prints = df.select(*fingerprint(df.columns))
+    return materialize(prints.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*PRINT), "repeated-prints")
+
+
+def _side(prints: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(prints) if count <= BROADCAST_PRINTS else prints
+
+
+def maybe_repeated(df: DataFrame) -> DataFrame:
+    """The rows whose fingerprint occurs more than once."""
+    prints = repeated_prints(df)
+    return df.select("*", *fingerprint(df.columns)).join(_side(prints, prints.count()), list(PRINT), "left_semi").select(*_named(df))
+
+
+def _named(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Distinct rows over all columns, compared as they are (text stays text: ``20.0`` is not ``20.00``)."""
-    return df.dropDuplicates()
+    """Distinct rows over all columns, compared as they are (text stays text: ``20.0`` is not ``20.00``).
+
+    Rows without a double stay where they are read. Where too many fingerprints repeat to be sent to all tasks, every row
+    has to move anyway and the plain aggregate does it once. ``df`` is read more than once: pass a stored table.
+    """
+    prints = repeated_prints(df)
+    count = prints.count()
+    if count > BROADCAST_PRINTS:
+        return df.dropDuplicates()
+    rows = df.select("*", *fingerprint(df.columns))
+    alone = rows.join(F.broadcast(prints), list(PRINT), "left_anti").select(*_named(df))
+    several = rows.join(F.broadcast(prints), list(PRINT), "left_semi").select(*_named(df))
+    return alone.unionByName(several.dropDuplicates())
 
 
 def duplicate_stats(df: DataFrame, by=()) -> DataFrame:
-    """Rows, distinct rows, exact duplicates and their share, per group of ``by`` (whole table if empty)."""
+    """Rows, distinct rows, exact duplicates and their share, per group of ``by`` (whole table if empty).
+
+    ``df`` is read more than once: pass a stored table.
+    """
     by = list(by)
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return copies.groupBy(*by).agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("n_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("exact_duplicate_rows"),
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
+    copies = maybe_repeated(df).groupBy(*_named(df)).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    surplus = copies.groupBy(*by).agg(F.sum(F.col("_copies") - 1).alias("exact_duplicate_rows"))
+    if by:
+        same = reduce(lambda x, y: x & y, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"c.`{c}`")) for c in by])
+        joined = counted.alias("c").join(surplus.alias("s"), same, "left").select(
+            *[F.col(f"c.`{c}`") for c in by], "n_rows", "exact_duplicate_rows")
+    else:
+        joined = counted.withColumn("exact_duplicate_rows", surplus.scalar())
+    extra = F.coalesce("exact_duplicate_rows", F.lit(0))
+    return joined.select(
+        *by, "n_rows", (F.col("n_rows") - extra).alias("distinct_rows"), extra.alias("exact_duplicate_rows")
     ).withColumn("exact_duplicate_share", F.try_divide(
         F.col("exact_duplicate_rows").cast("double"), F.col("n_rows").cast("double")))
 
