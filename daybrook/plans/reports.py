@@ -96,9 +96,13 @@ def rows_per_date(events: DataFrame) -> DataFrame:
     return events.groupBy("p_date").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("p_date")
 
 
-def sparse_flags(users: DataFrame, events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Total events of every user over all dates, 0 when there are none, and the sparse-history flag."""
-    totals = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("total_events"))
+def sparse_flags(users: DataFrame, events, params: Params = DEFAULTS, totals=None) -> DataFrame:
+    """Total events of every user over all dates, 0 when there are none, and the sparse-history flag.
+
+    ``totals`` (user_id, total_events) stands for ``events`` where they are known.
+    """
+    if totals is None:
+        totals = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("total_events"))
     return (
         users.drop("total_events", "is_sparse_history").join(totals, "user_id", "left")
         .withColumn("total_events", F.coalesce("total_events", F.lit(0)).cast("int"))

@@ -1,11 +1,16 @@
 """Curated to warehouse: dimensions are upserted, the facts of the loaded dates are replaced, all or nothing.
 
-A load writes its dimensions and the facts of its dates into a version folder of their own and checks them there. It is
-published by appending one small file to the manifest, which names for every dimension, and every date of a fact, the
-version that holds it. Until that file exists readers see the old contents, whatever was written; a rerun of the same
-dates gives the same contents. Folders that the manifest does not name belong to replaced or failed loads.
+A dimension is cut into ``BUCKETS`` by a hash of its key, a fact into dates. A load writes the buckets that hold a row it
+changes, and its dates, into a version folder of its own and checks the tables as they would be. It is published by one file
+in the manifest, which names for every bucket and date the version that holds it. Until that file exists readers see the old
+contents, whatever was written; a rerun of the same dates gives the same contents. Buckets and dates that a load does not
+change stay in the files they are in. Folders that the manifest does not name belong to replaced or failed loads.
+
+The manifest file is named by the number of the load and created only if no other load took that number meanwhile. The loser
+of two concurrent loads starts again from what the winner published, so no update is lost.
 """
 
+import json
 import uuid
 from functools import reduce
 
@@ -17,18 +22,25 @@ from daybrook.operators import events as E
 from daybrook.params import DEFAULTS, Params
 from daybrook.plans import constraints, reports
 from daybrook.schemas import USER_COLUMNS, WAREHOUSE_TYPES
+from daybrook.session import materialize
 from daybrook.sources import readers as R, sinks as W
 
 DIMENSIONS = {
     "categories": ["category_id"], "users": ["user_id"], "videos": ["pid"], "video_categories": ["pid", "category_id"],
 }
 FACTS = {"interactions_curated": "p_date", "daily_user_features": "feature_date"}
+BUCKETS, BUCKET = 32, "bucket"
+ATTEMPTS = 5
 
 
 class LoadError(Exception):
     """A constraint or row-count check failed; nothing was published."""
 
 
+class Conflict(LoadError):
+    """Another load was published first; nothing of this one was."""
+
+
 def narrow(df: DataFrame, table: str) -> DataFrame:
     """Warehouse column types; ANSI casts raise on overflow."""
     types = WAREHOUSE_TYPES.get(table, {})
@@ -47,8 +59,12 @@ def _version(root, name, version):
     return f"{root}/versions/{version}/{name}"
 
 
+def _bucket(name):
+    return F.pmod(F.xxhash64(*DIMENSIONS[name]), F.lit(BUCKETS)).cast("int")
+
+
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """The version that holds each dimension (null ``part``) and each date of a fact (its label), after the latest load."""
+    """The version that holds each bucket of a dimension (its number) and each date of a fact (its label)."""
     try:
         rows = spark.read.schema(MANIFEST).json(f"{root}/manifest")
     except AnalysisException as exc:
@@ -59,77 +75,154 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     return last.select("table_name", "part", "l.*")
 
 
-def _facts(spark, root, name, column, state, leave_out=()) -> DataFrame | None:
-    """Rows of a fact: every version, restricted to the dates it holds. None before the first row."""
-    dates = {}
+def _held(state) -> dict:
+    """table -> part -> (version, rows); a part without rows has no files worth opening."""
+    held = {}
     for r in state:
-        if r["table_name"] == name and r["n_rows"] and r["part"] not in leave_out:
-            dates.setdefault(r["version"], []).append(r["part"])
-    parts = [spark.read.parquet(_version(root, name, v)).where(F.col(column).isin([F.lit(C.iso_date(d)).cast("date") for d in held]))
-             for v, held in sorted(dates.items())]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+        held.setdefault(r["table_name"], {})[r["part"]] = (r["version"], r["n_rows"])
+    return held
+
+
+def _table(spark, root, name, parts, leave_out=()) -> DataFrame | None:
+    """Rows of a table: of every version the buckets or dates it holds. None before the first row."""
+    column = FACTS.get(name, BUCKET)
+    by_version = {}
+    for part, (version, n) in parts.items():
+        if n and part not in leave_out:
+            by_version.setdefault(version, []).append(part)
+    found = []
+    for version, held in sorted(by_version.items()):
+        values = [F.lit(C.iso_date(p)).cast("date") if name in FACTS else F.lit(int(p)) for p in held]
+        rows = spark.read.parquet(_version(root, name, version)).where(F.col(column).isin(values))
+        found.append(rows if name in FACTS else rows.drop(BUCKET))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def tables(spark: SparkSession, root: str) -> dict:
     """The published tables; a table that no load has filled is absent."""
-    state = manifest(spark, root).collect()  # one row per dimension and per date of a fact
-    found = {r["table_name"]: spark.read.parquet(_version(root, r["table_name"], r["version"])) for r in state if r["part"] is None}
-    facts = {name: _facts(spark, root, name, column, state) for name, column in FACTS.items()}
-    return found | {name: df for name, df in facts.items() if df is not None}
+    held = _held(manifest(spark, root).collect())  # one row per bucket of a dimension and per date of a fact
+    found = {name: _table(spark, root, name, parts) for name, parts in held.items()}
+    return {name: df for name, df in found.items() if df is not None}
 
 
-def _prepare_dimension(spark, root, version, name, source: DataFrame, old):
+def _merged(spark, name, source: DataFrame, old: DataFrame | None) -> DataFrame:
+    """A dimension after the upsert; the columns that the warehouse derives keep their values."""
     source = narrow(source, name)
     full = with_derived_defaults(source) if name == "users" else source
-    target = old[name] if name in old else spark.createDataFrame([], full.schema)
-    columns = USER_COLUMNS if name == "users" else source.columns
-    merged = W.upsert(target, source, columns, DIMENSIONS[name])
-    if name == "users":
-        merged = merged.fillna({"total_events": 0, "is_sparse_history": False})
-    path = _version(root, f"{name}_upserted" if name == "users" else name, version)
-    W.overwrite_table(merged, path)
-    return spark.read.schema(full.schema).parquet(path)
+    target = old if old is not None else spark.createDataFrame([], full.schema)
+    merged = W.upsert(target, source, USER_COLUMNS if name == "users" else source.columns, DIMENSIONS[name])
+    return merged.fillna({"total_events": 0, "is_sparse_history": False}) if name == "users" else merged
 
 
-def load_dates(spark: SparkSession, curated: dict, root: str, dates, params: Params = DEFAULTS) -> dict:
-    """Publish dates together. Returns rows per table; raises ``LoadError``, with nothing published, if a check fails."""
-    labels = sorted({C.check_p_date(d) for d in dates})
-    days = [F.lit(C.iso_date(d)).cast("date") for d in labels]
-    state, old = manifest(spark, root).collect(), tables(spark, root)
-    version = uuid.uuid4().hex
-    new = {name: _prepare_dimension(spark, root, version, name, curated[name], old) for name in DIMENSIONS}
-    counts = {}
+def _changed_buckets(name, rows: DataFrame, old: DataFrame | None) -> list[int]:
+    """Buckets that hold a new or a changed row: at most ``BUCKETS`` numbers."""
+    if old is not None:
+        key = DIMENSIONS[name]
+        was = old.select(*[F.col(c).alias(f"was_{c}") for c in rows.columns], F.lit(True).alias("was"))
+        on = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"was_{c}") for c in key])
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"was_{c}")) for c in rows.columns if c not in key], F.lit(True))
+        rows = rows.join(was, on, "left").where(F.col("was").isNull() | ~same)
+    return sorted(r[0] for r in rows.select(_bucket(name).alias(BUCKET)).distinct().collect())
+
+
+def _counts(df: DataFrame, part) -> dict:
+    return {str(k): n for k, n in df.groupBy(part.alias("part")).count().collect()}  # one row per date or bucket
+
+
+def _write_facts(spark, root, version, curated, labels) -> dict:
+    """Write the dates of both facts. Returns table -> label -> rows; raises if they differ from what was asked for."""
+    days, counts = [F.lit(C.iso_date(d)).cast("date") for d in labels], {}
     for name, column in FACTS.items():
-        rows = narrow(curated[name].where(F.col(column).isin(days)), name)
-        path = _version(root, name, version)
+        wanted = curated[name].where(F.col(column).isin(days))
+        rows, path = narrow(wanted, name), _version(root, name, version)
         W.replace_all(rows, path, column)
-        new[name] = spark.read.schema(rows.schema).parquet(path)
-        expected, counts[name] = ({label: n for label, n in df.groupBy(C.date_to_label(column).alias("d")).count().collect()}
-                                  for df in (curated[name].where(F.col(column).isin(days)), new[name]))  # one row per date
+        written = spark.read.schema(rows.schema).parquet(path)
+        expected, counts[name] = (_counts(df, C.date_to_label(column)) for df in (wanted, written))
         if expected != counts[name]:
             raise LoadError(f"row counts differ in {name}: written {counts[name]}, expected {expected}")
+    return counts
+
+
+def _write_dimension(spark, root, version, name, rows: DataFrame, old: DataFrame | None) -> dict:
+    """Write the changed buckets of a dimension. Returns bucket -> rows."""
+    rows = materialize(rows, name)
+    buckets = _changed_buckets(name, rows, old)
+    path = _version(root, name, version)
+    W.replace_all(rows.withColumn(BUCKET, _bucket(name)).where(F.col(BUCKET).isin(buckets)), path, BUCKET)
+    return _counts(spark.read.parquet(path), F.col(BUCKET)) if buckets else {}
 
-    others = _facts(spark, root, "interactions_curated", "p_date", state, labels)
-    fresh = new["interactions_curated"]
-    events = fresh.select("user_id") if others is None else others.select("user_id").unionByName(fresh.select("user_id"))
-    users = _version(root, "users", version)
-    W.overwrite_table(reports.sparse_flags(new["users"], events, params), users)
-    new["users"] = spark.read.schema(new["users"].schema).parquet(users)
 
-    bad = constraints.constraint_violations(new).where("violations > 0").collect()  # one row per constraint
+def _user_totals(fresh: DataFrame, before: DataFrame | None, old_users: DataFrame | None) -> DataFrame:
+    """(user_id, total_events) over all dates, from the published totals and the loaded dates alone."""
+    changes = [fresh.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))]
+    if before is not None:
+        changes.append(before.groupBy("user_id").agg((-F.count(F.lit(1))).alias("n")))
+    if old_users is not None:
+        changes.append(old_users.select("user_id", F.col("total_events").cast("bigint").alias("n")))
+    return reduce(DataFrame.unionByName, changes).groupBy("user_id").agg(F.sum("n").alias("total_events"))
+
+
+def _load_once(spark: SparkSession, curated: dict, root: str, labels, params: Params) -> dict:
+    state = manifest(spark, root).collect()
+    held, number = _held(state), 1 + max((r["load_number"] for r in state), default=0)
+    old = {name: _table(spark, root, name, parts) for name, parts in held.items()}
+    version = uuid.uuid4().hex
+    counts = _write_facts(spark, root, version, curated, labels)
+    after = {name: {**held.get(name, {}), **{d: (version, counts[name].get(d, 0)) for d in labels}} for name in FACTS}
+
+    events = "interactions_curated"
+    loaded = {p: v for p, v in after[events].items() if p in labels}
+    replaced = {p: v for p, v in held.get(events, {}).items() if p in labels}
+    empty = narrow(curated[events], events).where("false")
+    fresh, before = _table(spark, root, events, loaded), _table(spark, root, events, replaced)
+    fresh = empty if fresh is None else fresh
+    totals = _user_totals(fresh, before, old.get("users"))
+    for name in DIMENSIONS:
+        rows = _merged(spark, name, curated[name], old.get(name))
+        if name == "users":
+            rows = reports.sparse_flags(rows, None, params, totals)
+        counts[name] = _write_dimension(spark, root, version, name, rows, old.get(name))
+        after[name] = {**held.get(name, {}), **{b: (version, n) for b, n in counts[name].items()}}
+
+    new = {name: _table(spark, root, name, parts) for name, parts in after.items()}
+    for name in (*DIMENSIONS, *FACTS):
+        if new.get(name) is None:
+            rows = narrow(curated[name], name).where("false")
+            new[name] = with_derived_defaults(rows) if name == "users" else rows
+    checked = {**new, **{name: _table(spark, root, name, {p: v for p, v in after[name].items() if p in labels})
+                         for name in FACTS}}
+    bad = constraints.constraint_violations({n: new[n].where("false") if df is None else df for n, df in checked.items()}).where(
+        "violations > 0").collect()  # one row per constraint
     # an event key may not exist under another date either
+    others = _table(spark, root, events, held.get(events, {}), labels)
     clash = 0 if others is None else fresh.count() - E.not_owned_earlier(fresh, others).count()
     if bad or clash:
         names = [f"{r['table_name']}.{r['name']} ({r['violations']})" for r in bad]
         raise LoadError("constraints violated: " + ", ".join(names + ([f"event key in another date ({clash})"] if clash else [])))
 
-    number = 1 + max((r["load_number"] for r in state), default=0)
-    stats = {name: new[name].count() for name in DIMENSIONS}
-    rows = [(number, name, None, version, n) for name, n in stats.items()]
-    rows += [(number, name, d, version, counts[name].get(d, 0)) for name in FACTS for d in labels]
+    lines = [{"load_number": number, "table_name": name, "part": part, "version": version, "n_rows": n}
+             for name in DIMENSIONS for part, n in counts[name].items()]
+    lines += [{"load_number": number, "table_name": name, "part": d, "version": version, "n_rows": counts[name].get(d, 0)}
+              for name in FACTS for d in labels]
     # the switch: one file appears, or none
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
-    return stats | {name: sum(counts[name].values()) for name in FACTS}
+    if not W.publish_once(spark, f"{root}/manifest/{number:012d}.json", "\n".join(map(json.dumps, lines))):
+        raise Conflict(f"load {number} was published by another job")
+    return {name: sum(n for _, n in after[name].values()) for name in DIMENSIONS} | {
+        name: sum(counts[name].values()) for name in FACTS}
+
+
+def load_dates(spark: SparkSession, curated: dict, root: str, dates, params: Params = DEFAULTS) -> dict:
+    """Publish dates together. Returns rows per table; raises ``LoadError``, with nothing published, if a check fails.
+
+    A load that another one overtakes is done again on the new contents, ``ATTEMPTS`` times at most.
+    """
+    labels = sorted({C.check_p_date(d) for d in dates})
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            return _load_once(spark, curated, root, labels, params)
+        except Conflict:
+            if attempt == ATTEMPTS:
+                raise
 
 
 def load_date(spark: SparkSession, curated: dict, root: str, p_date: str, params: Params = DEFAULTS) -> dict:

@@ -1,5 +1,8 @@
 """Writers: partitioned landing, partition replacement, upsert, reports and bulk copy."""
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
@@ -79,6 +82,31 @@ def write_report(df: DataFrame, path: str, partition_by=()):
     writer.json(path)
 
 
+def publish_once(spark, path: str, text: str) -> bool:
+    """Create a small file if nothing has its name yet. False if something has: of several writers one succeeds.
+
+    The file is written under another name and renamed without overwriting, so it appears whole or not at all.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    files = target.getFileSystem(conf)
+    waiting = hadoop.Path(target.getParent().getParent(), f"_pending/{uuid.uuid4().hex}")
+    files.mkdirs(target.getParent())
+    stream = files.create(waiting, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(files.getUri(), conf).rename(
+            files.makeQualified(waiting), files.makeQualified(target), no_overwrite)
+    except Py4JJavaError as exc:
+        files.delete(waiting, False)
+        if "AlreadyExists" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def overwrite_table(df: DataFrame, path: str):
     """Whole-table rebuild. ``path`` must not be an input of ``df``."""
     df.write.mode("overwrite").parquet(path)
