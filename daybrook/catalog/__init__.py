@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["layers", "storage", "quality", "analysis", "warehouse", "profiling"]
+_MODULES = ["layers", "storage", "quality", "analysis", "warehouse", "incremental", "profiling"]
 
 
 def _load():
