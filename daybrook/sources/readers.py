@@ -1,6 +1,7 @@
 """Scans. Every reader takes an explicit schema or fixed column list; nothing infers types."""
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -34,24 +35,46 @@ def path_missing(exc: AnalysisException) -> bool:
     return (exc.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
+HEAD_BYTES = 1 << 16
+
+
+def first_line(spark: SparkSession, file: str) -> str:
+    """The first line of a file, from its first bytes alone: twice as many are read until a line end is among them."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    size = HEAD_BYTES
+    while True:
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            head = bytes((stream if codec is None else codec.createInputStream(stream)).readNBytes(size))
+        finally:
+            stream.close()
+        if b"\n" in head or len(head) < size:
+            return head.split(b"\n", 1)[0].decode("utf-8", "replace").removesuffix("\r").removeprefix("\ufeff")
+        size *= 2
+
+
 def csv_headers(spark: SparkSession, path):
     """The files under ``path`` by header: (column names, files) pairs; [] if all are empty, None if nothing is there.
 
-    A file's header is its first line, byte order mark removed. One scan of the lines, combined to one row per file.
+    A file's header is its first line, byte order mark removed. Files are listed by Spark, of each only the first bytes are
+    read, however large it is.
     """
     try:
-        lines = spark.read.text(path)
+        listed = spark.read.format("binaryFile").load(path).where("length > 0").select("_metadata.file_path")
+        files = sorted(r[0] for r in listed.collect())  # one short row per delivered file
     except AnalysisException as exc:
         if path_missing(exc):
             return None
         raise
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place")).groupBy("file").agg(
-        F.min_by("value", "place").alias("value"))
-    # one short row per delivered file
-    rows = first.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
-    parsed = [(next(csv.reader([r["value"].removeprefix("\ufeff")]), []), r["files"]) for r in rows]
-    return [(columns, files) for columns, files in parsed if columns]
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda file: first_line(spark, file), files))
+    found = {}
+    for line, file in zip(lines, files):
+        found.setdefault(line, []).append(file)
+    parsed = [(next(csv.reader([line]), []), names) for line, names in sorted(found.items())]
+    return [(columns, names) for columns, names in parsed if columns]
 
 
 def read_quoted_csv(spark: SparkSession, path, columns, header=True, extra=(), base=None) -> DataFrame:

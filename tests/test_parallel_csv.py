@@ -1,6 +1,7 @@
 """Quoted CSV by blocks against the reader that takes one task per file."""
 
 import random
+from urllib.parse import unquote
 
 import pytest
 
@@ -80,3 +81,20 @@ def test_pieces_stay_few(small_blocks, tmp_path):
     near = rows.join(borders.where("starts_open OR ends_open").select("block_key"), "block_key", "left_semi").select(*rows.columns)
     pieces = parallel_csv._assemble(near, opened, True, "pieces", parallel_csv.PIECES)
     assert starts <= pieces.count() <= 2 * starts + 1
+
+
+def test_headers_come_from_the_first_bytes(spark, tmp_path, monkeypatch):
+    """Byte order mark, CR LF, gzip, one line without an end, a header longer than the first bytes, empty files, odd names."""
+    import gzip
+    monkeypatch.setattr(R, "HEAD_BYTES", 8)
+    wide = ",".join(f"column_{k}" for k in range(200))
+    texts = {"a.csv": "x,y\n1,2\n" * 5000, "b 100%.csv": "﻿x,y\r\n1,2\r\n", "c.csv": "x,y", "d.csv": wide + "\n1\n", "e.csv": "", "f.csv": "\n1\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    (tmp_path / "g.csv.gz").write_bytes(gzip.compress(b"x,y\n" + b"1,2\n" * 9000))
+    found = R.csv_headers(spark, str(tmp_path))
+    assert sorted((len(c), len(f)) for c, f in found) == [(2, 4), (200, 1)]
+    assert R.csv_headers(spark, str(tmp_path / "none*.csv")) is None and R.csv_headers(spark, str(tmp_path / "e.csv")) == []
+    two = next(files for columns, files in found if columns == ["x", "y"])
+    rows = R.good_rows(R.read_split_csv(spark, [unquote(f) for f in two], ["x", "y"]))
+    assert rows.count() == 9999 + 1 + 0 + 9000
