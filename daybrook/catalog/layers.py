@@ -38,6 +38,14 @@ def event_collapse(spark, sf):
     return stage.stage_events(I.raw_interactions(spark, sf)).drop("ingest_batch_id", "staged_at")
 
 
+@query("staged_lineage_columns", """
+SELECT user_id, pid, exposed_time, p_date, 'batch-7' AS ingest_batch_id, '2024-02-01T00:00:00+00:00' AS staged_at FROM staged""")
+def staged_lineage_columns(spark, sf):
+    """Every staged event names the batch it came from and when it was staged."""
+    staged = stage.stage_events(I.landed_raw(spark, sf), batch_id="batch-7", staged_at="2024-02-01T00:00:00+00:00")
+    return staged.select(*EVENT_KEY, "p_date", "ingest_batch_id", "staged_at")
+
+
 @query("tag_count", """
 SELECT user_id, pid, exposed_time, p_date, count(DISTINCT tag_name) AS tag_count FROM typed GROUP BY ALL""")
 def tag_count(spark, sf):

@@ -75,6 +75,22 @@ def raw_partition_scan(spark, sf):
     return R.read_raw_date(spark, root, "19980101").drop(R.PART)
 
 
+@query("missing_partition", "SELECT p_date, count(*) AS n_rows, true AS landed FROM raw GROUP BY 1 UNION ALL SELECT '20300101', 0, false")
+def missing_partition(spark, sf):
+    """Each date read on its own; a date that was never landed is an error, not an empty table."""
+    root = work_path(spark, "raw")
+    W.fanout_by_date(I.raw_interactions(spark, sf), root)
+    out = None
+    for label in [*R.partition_dates(spark, root), "20300101"]:
+        try:
+            rows, landed = R.read_raw_date(spark, root, label), True
+        except FileNotFoundError:
+            rows, landed = R.read_raw(spark, root, label), False
+        row = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(label).alias("p_date"), "n_rows", F.lit(landed).alias("landed"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("fanout_by_date", "SELECT p_date AS part_date, count(*) AS n_rows FROM raw GROUP BY 1")
 def fanout_by_date(spark, sf):
     """Fan-out to one CSV directory per date, counted from the landed copy."""
