@@ -59,7 +59,7 @@ def near_rows(seed, groups=6, copies=14):
 @pytest.mark.parametrize("seed, tight", [(1, False), (2, True)])
 def test_jaccard_components(table, sample, edges, monkeypatch, seed, tight):
     if tight:  # many blocks, frequent shingles, groups in cells, no broadcast
-        for module, name, value in ((jaccard, "BLOCK", 60), (groups, "GROUP", 400), (groups, "BROADCAST_ROWS", 0)):
+        for module, name, value in ((jaccard, "BLOCK", 60), (jaccard, "BLOCKS_PER_SHARD", 5), (groups, "GROUP", 400), (groups, "BROADCAST_ROWS", 0)):
             monkeypatch.setattr(module, name, value)
     rows = edges + [(900 + i, "Same WORDS here") for i in range(3)] + [(910, "same words here"), (911, "same words there")]
     rows += [(1000 + i, t) for i, t in near_rows(seed)] + sample + sample[:2]
