@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybrook.session import materialize, work_path
 
-__all__ = ["documents", "embeddings", "id_text", "materialize", "store", "texts_of", "mix64", "shards_for"]
+__all__ = ["documents", "embeddings", "id_text", "materialize", "store", "texts_of", "mix64", "shards_for", "unused"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,14 @@ def id_text(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def unused(columns, name: str) -> str:
+    """``name``, made longer until no column has it, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Like ``materialize``, for tables of packed bytes: compressed harder."""
     path = work_path(df.sparkSession, name)

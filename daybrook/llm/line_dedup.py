@@ -13,7 +13,7 @@ Every probed hash is a key of its shard, so a slot is never wrong; the fingerpri
 
 Null and empty texts are one empty line. Rows with equal ids count as one document and lose the same lines; rows with a
 null id neither count nor lose lines. Keys repeated inside a document count once. Ties do not occur: the largest id of a
-key is unique. Empty tables give empty results.
+key is unique. Extra columns, whatever their names, do not matter. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from daybrook.llm import mph
-from daybrook.llm.common import id_text, materialize, shards_for, texts_of
+from daybrook.llm.common import id_text, materialize, shards_for, texts_of, unused
 
 MIN_CHARS, MIN_DOCS = 40, 5
 KEYS_PER_SHARD = 100_000
@@ -158,8 +158,9 @@ def digest(docs: DataFrame) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the dropped lines cut out of ``text`` and ``n_chars`` brought up to date; all columns stay."""
     columns = docs.columns
-    hits = dropped_lines(id_text(docs)).select(F.col("doc_id").alias("__doc"), "dropped")
-    joined = docs.join(hits, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    key, found = unused(columns, "line_doc"), unused(columns, "line_hashes")
+    hits = dropped_lines(id_text(docs)).select(F.col("doc_id").alias(key), F.col("dropped").alias(found))
+    joined = docs.join(hits, docs["doc_id"] == hits[key], "left").drop(key)
 
     def rebuild(batches):
         at = columns.index("text")

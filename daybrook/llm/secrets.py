@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybrook.llm.common import id_text
+from daybrook.llm.common import id_text, unused
 from daybrook.llm.spans import spans_where
 
 # fixed values: the base patterns of the result definition
@@ -128,7 +128,8 @@ def digest(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark="[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones merged) replaced by ``mark`` in ``text``; all columns stay, ``n_chars`` follows."""
     columns = docs.columns
-    found = _with_spans(docs, train(id_text(docs)))
+    hidden = {c: unused(columns, f"own{c}") for c in columns if c.lower().startswith("__secret_")}
+    found = _with_spans(docs.withColumnsRenamed(hidden), train(id_text(docs)))
     begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(acc, s):
@@ -139,5 +140,6 @@ def redact(docs: DataFrame, mark="[SECRET]") -> DataFrame:
 
     clean = F.aggregate("__secret_spans", begin, step,
                         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    out = found.withColumn("text", F.when(F.size("__secret_spans") > 0, clean).otherwise(F.col("text"))).select(*columns)
+    out = found.withColumn("text", F.when(F.size("__secret_spans") > 0, clean).otherwise(F.col("text"))).select(
+        *(F.col(f"`{hidden.get(c, c)}`").alias(c) for c in columns))
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in columns else out

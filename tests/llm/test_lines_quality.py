@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from daybrook.llm import line_dedup, mph, quality
+from daybrook.llm import line_dedup, mph, quality, secrets
 from daybrook.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import by_id
 
@@ -114,3 +114,16 @@ def test_registered_line_dedup_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     ok, _, message = compare(spark, connect(sf), sf, QUERIES["op10_line_dedup"], ORACLES["op10_line_dedup"])
     assert ok, message
+
+
+def test_columns_of_any_name_stay(table):
+    """Columns named like intermediate ones go through line dedup and redaction untouched."""
+    line = "a line of more than forty characters, the same everywhere"
+    docs = table([(i, f"{line}\nown {i} password = hunter2hunter2") for i in range(6)])
+    clash = docs.selectExpr("*", "1 AS dropped", "2 AS __doc", "3 AS line_doc", "4 AS line_hashes", "5 AS __secret_run", "6 AS __secret_spans")
+    cut = line_dedup.drop_repeated_lines(clash)
+    assert cut.columns == clash.columns and cut.where("text LIKE 'a line%'").count() == 1
+    clean = secrets.redact(cut)
+    row = clean.first()
+    assert clean.columns == clash.columns and "hunter2" not in row["text"]
+    assert (row["dropped"], row["__doc"], row["line_doc"], row["line_hashes"], row["__secret_run"], row["__secret_spans"]) == (1, 2, 3, 4, 5, 6)
