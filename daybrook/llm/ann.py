@@ -12,7 +12,7 @@ own id may fall away). Leaves are divided into cells of about ``CELL_ROWS`` vect
 Scores are computed in double precision on the original vectors, by the same summation for every pair, so equal vectors
 tie exactly; ties go to the smaller id. Vectors that are null, zero or hold null or non-finite components take no part,
 nor do rows with a null id or of another dimension than most. Rows that repeat id and vector are one row; an id with
-several vectors is searched with each, answers with its nearest, and excludes all of them from its own answer. Empty tables give empty results.
+several vectors is searched with each, answers with its nearest, and excludes all of them from its own answer. Extra columns are left behind. Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ through the driver.
 Documents are ids followed by the end id; only documents longer than ``size`` are cut, the first piece taking the
 remainder. Null and empty texts are one piece with the end id alone. Repeated rows and null ids are packed like any other
 row. Ties between equal lengths are broken by task and order, so sequence ids may differ between runs; lengths, pieces
-and the number of sequences do not. Empty tables give empty results.
+and the number of sequences do not. Texts of any length are cut whole, extra columns are left behind. Empty tables give empty
+results.
 """
 
 from __future__ import annotations

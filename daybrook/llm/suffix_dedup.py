@@ -19,7 +19,8 @@ equal anchors at equal places, so they meet wherever strings are brought togethe
 
 Matches never cross documents; all comparisons are on bytes of the input. Null texts are empty. Rows with equal ids do not
 remove each other's bytes, each is judged against smaller ids; rows with a null id neither remove nor lose bytes. Texts
-shorter than ``LENGTH`` lose nothing; texts of any length are read whole. Empty tables give empty results.
+shorter than ``LENGTH`` lose nothing; texts of any length are read whole. Extra columns are left behind. Empty tables give
+empty results.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ A keyed read hashes the id to its slot, compares the fingerprint and cuts ``leng
 search, whatever the shard holds.
 
 Null texts are empty: the end id alone. Null ids come first. Rows with equal ids keep apart by their number, ordered by
-text. Long texts make a shard of their own size. Empty tables give an empty file and no rows.
+text. Long texts make a shard of their own size. Extra columns are left behind. Empty tables give an empty file and no rows.
 """
 
 from __future__ import annotations
