@@ -164,19 +164,27 @@ class Decoder:
         return raw.decode("utf-8", "replace").encode()
 
 
-_STATE: dict = {}
+_ENCODERS: dict = {}
+_DECODERS: dict = {}
 
 
-def _state(path: str):
-    if path not in _STATE:
-        _STATE[path] = ChunkEncoder(encoder(path, spaces=True)), Decoder(path)
-    return _STATE[path]
+def _encoder(path: str) -> ChunkEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ChunkEncoder(encoder(path, spaces=True))
+    return _ENCODERS[path]
+
+
+def _decoder(path: str) -> Decoder:
+    """Decoding runs in a worker of its own, which needs no encoder."""
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
 
 
 def encode_documents(docs: DataFrame, path: str, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, ids): ids as little-endian 32-bit words. One pass, no shuffle."""
     def run(batches):
-        chunks, _ = _state(path)
+        chunks = _encoder(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([chunks.encode(t) for t in texts_of(batch)], pa.binary())], names=["doc_id", "ids"])
@@ -187,7 +195,7 @@ def encode_documents(docs: DataFrame, path: str, id_col="doc_id", text_col="text
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of rows with ``doc_id`` and ``ids``."""
     def run(batches):
-        _, decoder = _state(path)
+        decoder = _decoder(path)
         for batch in batches:
             texts = [decoder.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary()).cast(pa.string())],
