@@ -1,5 +1,7 @@
 """The model's input tables, derived by Spark from the driver's parquet tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybrook.functions import columns as C
@@ -39,20 +41,43 @@ def user_attributes(spark, sf_dir) -> DataFrame:
     )
 
 
+# bits of ``_line_bits``: what an order line's flags and copies depend on
+_LIKE, _CLICK, _COMMENT, _FOLLOW, _COLLECT, _HATE, _SAME_DATE, _NEXT_DATE = (1 << i for i in range(8))
+
+
+def _line_bits():
+    """The conditions of an order line in one number: a row that is shuffled carries eight bytes for all of them."""
+    returned = F.col("l_returnflag")
+    conditions = {
+        _LIKE: returned == "A", _CLICK: F.col("l_linestatus") == "O", _COMMENT: F.col("l_discount") > 0.055,
+        _FOLLOW: F.col("l_tax") > 0.055, _COLLECT: F.col("l_tax") < 0.015, _HATE: F.col("l_discount") < 0.005,
+        _SAME_DATE: returned == "A", _NEXT_DATE: (returned == "R") & (F.col("l_linestatus") == "F"),
+    }
+    return reduce(lambda x, y: x + y, [F.when(cond, F.lit(bit)).otherwise(F.lit(0)) for bit, cond in conditions.items()])
+
+
+def _bit(bit):
+    return F.col("bits").bitwiseAND(F.lit(bit)) != 0
+
+
 def _fanout(spark, sf_dir, copies=None) -> DataFrame:
-    """Order lines as text rows; ``copies`` is an array column with one element per row to emit."""
-    o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
+    """Order lines as text rows; ``copies`` is an array column with one element per row to emit.
+
+    Users join the orders, parts the lines: the wide user attributes never move with a line, and a line moves twice.
+    """
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", (F.col("o_orderstatus") == "P").alias("forward"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("quantity"),
+        _line_bits().alias("bits"))
     p = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", (F.regexp_extract("p_brand", "[0-9]+", 0).cast("int") - 1).alias("cat"))
     n = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("cat"), F.col("n_regionkey").alias("root"))
     u = user_attributes(spark, sf_dir)
     j = (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(p, F.col("l_partkey") == F.col("p_partkey"))
-        .join(n, "cat")
-        .join(u, F.col("o_custkey") == F.col("c_custkey"))
+        li.join(p.join(n, "cat"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(o.join(u, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     j = j.withColumn("copy", F.explode(copies) if copies is not None else F.lit(0))
     return j.select(
@@ -65,15 +90,15 @@ def _fanout(spark, sf_dir, copies=None) -> DataFrame:
         _txt(F.col("root")).alias("root_id"),
         _txt(C.epoch_seconds("o_orderdate") + F.col("o_orderkey") % 86400).alias("exposed_time"),
         _txt(F.col("l_suppkey") * 10 + 5).alias("author_fans_count"),
-        _txt(F.col("l_quantity").cast("bigint")).alias("watch_time"),
+        _txt(F.col("quantity")).alias("watch_time"),
         F.concat(_txt(F.lit(8) + F.col("l_linenumber") * 4), F.lit(".0")).alias("duration"),
-        _flag(F.col("l_returnflag") == "A").alias("cvm_like"),
-        _flag(F.col("l_linestatus") == "O").alias("click"),
-        _flag(F.col("l_discount") > 0.055).alias("comment"),
-        _flag(F.col("l_tax") > 0.055).alias("follow"),
-        _flag(F.col("l_tax") < 0.015).alias("collect"),
-        _flag(F.col("o_orderstatus") == "P").alias("forward"),
-        _flag(F.col("l_discount") < 0.005).alias("hate"),
+        _flag(_bit(_LIKE)).alias("cvm_like"),
+        _flag(_bit(_CLICK)).alias("click"),
+        _flag(_bit(_COMMENT)).alias("comment"),
+        _flag(_bit(_FOLLOW)).alias("follow"),
+        _flag(_bit(_COLLECT)).alias("collect"),
+        _flag(F.col("forward")).alias("forward"),
+        _flag(_bit(_HATE)).alias("hate"),
         F.col("p_name").alias("tag_name"),
         F.col("p_type").alias("title"),
         _txt((F.col("o_orderkey") + F.col("l_linenumber") % 2) % 24).alias("p_hour"),
@@ -89,9 +114,7 @@ def raw_fanout(spark, sf_dir) -> DataFrame:
 
 def raw_interactions(spark, sf_dir) -> DataFrame:
     """The fan-out plus exact copies (returned lines) and copies under the next date partition."""
-    copies = F.array_compact(F.array(
-        F.lit(0), F.when(F.col("l_returnflag") == "A", 1),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 2)))
+    copies = F.array_compact(F.array(F.lit(0), F.when(_bit(_SAME_DATE), 1), F.when(_bit(_NEXT_DATE), 2)))
     return _fanout(spark, sf_dir, copies).select(*RAW_COLUMNS)
 
 
