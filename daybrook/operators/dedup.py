@@ -2,17 +2,25 @@
 
 Duplicates are looked for by fingerprint: 128 bits of each row are counted first, combined map-side, and only rows whose
 fingerprint occurs more than once are moved and compared in full. A false match costs a comparison, never a result.
+
+Counting moves no row where each column's type has a text that tells all its values apart: rows are compared by a SHA-256 of
+their text, 32 bytes a row. Where very many fingerprints repeat, nearly every row has to move to be dropped; each then moves
+once, to a number of tasks that grows with the rows.
 """
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from daybrook.session import materialize
 
 PRINT = ("_print_1", "_print_2")
 # 16-byte fingerprints, counted first, up to which the repeated ones are sent to all tasks; beyond, rows are shuffled by fingerprint
 BROADCAST_PRINTS = 500_000
+# rows that one task compares in full, and copies from which on a row is combined where it is read
+ROWS_PER_TASK, MANY_COPIES = 250_000, 25_000
+# types whose text is equal for equal values only
+EXACT_TEXT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType, T.DateType)
 
 
 def fingerprint(columns) -> list[Column]:
@@ -21,10 +29,27 @@ def fingerprint(columns) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *order).alias(name) for seed, order, name in ((1, parts, PRINT[0]), (2, parts[::-1], PRINT[1]))]
 
 
-def repeated_prints(df: DataFrame) -> DataFrame:
-    """The fingerprints of more than one row, stored: two numbers a row are all that is shuffled for the others."""
+def _counted_prints(df: DataFrame) -> DataFrame:
+    """(fingerprint, n) of more than one row, stored: two numbers a row are all that is shuffled for the others."""
     prints = df.select(*fingerprint(df.columns))
-    return materialize(prints.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*PRINT), "repeated-prints")
+    return materialize(prints.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-prints")
+
+
+def repeated_prints(df: DataFrame) -> DataFrame:
+    """The fingerprints of more than one row."""
+    return _counted_prints(df).select(*PRINT)
+
+
+def has_exact_text(df: DataFrame) -> bool:
+    """Every column has a type of ``EXACT_TEXT``, and text is compared byte by byte."""
+    return all(type(f.dataType) in EXACT_TEXT and (type(f.dataType) is not T.StringType or f.dataType == T.StringType())
+               for f in df.schema.fields)
+
+
+def digest(columns) -> Column:
+    """SHA-256 of a row's text, 32 bytes. Lengths tell cells apart, ``-`` stands for null."""
+    cells = [F.col(f"`{c}`").cast("string") for c in columns]
+    return F.unhex(F.sha2(F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in cells]), 256))
 
 
 def _side(prints: DataFrame, count: int) -> DataFrame:
@@ -41,22 +66,55 @@ def _named(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def _tasks(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def _drop_many(df: DataFrame, prints: DataFrame) -> DataFrame:
+    """Distinct rows where most rows have to move. Rows meet by fingerprint, in as many tasks as their number asks for.
+
+    Rows are not combined before they move, which would hold all rows of a task. Only rows with very many copies are: they
+    are few different ones, and one task would read all copies.
+    """
+    rows = df.select("*", *fingerprint(df.columns))
+    many = prints.where(F.col("n") >= MANY_COPIES).select(*PRINT)
+    hot = None
+    if not many.isEmpty():  # at most one in ``MANY_COPIES`` rows
+        hot = rows.join(F.broadcast(many), list(PRINT), "left_semi").select(*_named(df)).dropDuplicates()
+        rows = rows.join(F.broadcast(many), list(PRINT), "left_anti")
+    rest = rows.repartition(_tasks(df.count()), *PRINT).dropDuplicates().select(*_named(df))
+    return rest if hot is None else rest.unionByName(hot)
+
+
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Distinct rows over all columns, compared as they are (text stays text: ``20.0`` is not ``20.00``).
 
     Rows without a double stay where they are read. Where too many fingerprints repeat to be sent to all tasks, every row
-    has to move anyway and the plain aggregate does it once. ``df`` is read more than once: pass a stored table.
+    has to move anyway and does so once. ``df`` is read more than once: pass a stored table.
     """
-    prints = repeated_prints(df)
-    count = prints.count()
-    if count > BROADCAST_PRINTS:
-        return df.dropDuplicates()
+    counted = _counted_prints(df)
+    if counted.count() > BROADCAST_PRINTS:
+        return _drop_many(df, counted)
+    prints = counted.select(*PRINT)
     rows = df.select("*", *fingerprint(df.columns))
     alone = rows.join(F.broadcast(prints), list(PRINT), "left_anti").select(*_named(df))
     several = rows.join(F.broadcast(prints), list(PRINT), "left_semi").select(*_named(df))
     return alone.unionByName(several.dropDuplicates())
 
 
+def _surplus(df: DataFrame, by: list) -> DataFrame:
+    """Rows beyond one of each, per group of ``by``."""
+    groups = [F.col(f"`{c}`") for c in by]
+    if has_exact_text(df):
+        copies = df.select(*groups, digest(df.columns).alias("_row")).groupBy(*groups, "_row").agg(F.count(F.lit(1)).alias("_copies"))
+    else:
+        prints = repeated_prints(df)
+        rows = df.select("*", *fingerprint(df.columns)).join(_side(prints, prints.count()), list(PRINT), "left_semi")
+        # grouped by the fingerprint too, rows that moved by it do not move again
+        copies = rows.groupBy(*PRINT, *_named(df)).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.where("_copies > 1").groupBy(*groups).agg(F.sum(F.col("_copies") - 1).alias("exact_duplicate_rows"))
+
+
 def duplicate_stats(df: DataFrame, by=()) -> DataFrame:
     """Rows, distinct rows, exact duplicates and their share, per group of ``by`` (whole table if empty).
 
@@ -64,8 +122,7 @@ def duplicate_stats(df: DataFrame, by=()) -> DataFrame:
     """
     by = list(by)
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
-    copies = maybe_repeated(df).groupBy(*_named(df)).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    surplus = copies.groupBy(*by).agg(F.sum(F.col("_copies") - 1).alias("exact_duplicate_rows"))
+    surplus = _surplus(df, by)
     if by:
         same = reduce(lambda x, y: x & y, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"c.`{c}`")) for c in by])
         joined = counted.alias("c").join(surplus.alias("s"), same, "left").select(

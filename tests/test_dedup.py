@@ -60,3 +60,55 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert dedup.duplicate_stats(df).first()[:3] == (0, 0, 0) and dedup.duplicate_stats(df, ["d"]).count() == 0
     assert dedup.drop_exact_duplicates(df).count() == 0
+
+
+TEXT = "a string, `b c` string, d string"
+
+
+def text_rows(n=200):
+    rng = random.Random(5)
+    pool = [(rng.choice([None, "", "-", "1:x"]), rng.choice([None, "", "x", "1:x"]), rng.choice(["u", "v"])) for _ in range(40)]
+    return [rng.choice(pool) for _ in range(n)] + [(f"own{i}", None, "u") for i in range(n)]
+
+
+def test_counting_text_rows_moves_digests_only(spark, monkeypatch):
+    """Also where very many rows repeat, no exchange below the counts holds a row's cells."""
+    monkeypatch.setattr(dedup, "BROADCAST_PRINTS", 0)
+    rows = text_rows()
+    df = spark.createDataFrame(rows, TEXT).repartition(4).cache()
+    try:
+        plan = dedup._surplus(df, ["d"])._jdf.queryExecution().executedPlan().toString()
+        assert "_print_1" not in plan and "SortMergeJoin" not in plan
+        got = {r["d"]: (r["n_rows"], r["distinct_rows"]) for r in dedup.duplicate_stats(df, ["d"]).collect()}
+    finally:
+        df.unpersist()
+    assert got == {d: (sum(r[2] == d for r in rows), len({r for r in rows if r[2] == d})) for d in "uv"}
+
+
+def test_digests_tell_cells_apart(spark):
+    rows = [("ab", "c", "u"), ("a", "bc", "u"), (None, "-", "u"), ("-", None, "u"), ("", None, "u"), ("1:x", "", "u"), ("1", "x", "u")]
+    assert spark.createDataFrame(rows, TEXT).select(dedup.digest(["a", "b c", "d"])).distinct().count() == len(rows)
+
+
+def test_only_types_with_exact_text_are_counted_by_digest(spark):
+    assert dedup.has_exact_text(spark.createDataFrame([], "a string, n bigint, d date, b boolean"))
+    for kind in ("double", "timestamp", "array<string>", "binary", "decimal(5,2)"):
+        assert not dedup.has_exact_text(spark.createDataFrame([], f"a string, x {kind}"))
+
+
+def test_tasks_that_drop_copies_grow_with_the_rows(spark, monkeypatch):
+    """Whole rows move once, not combined by a task that reads very many, to one task for each ``ROWS_PER_TASK``."""
+    monkeypatch.setattr(dedup, "BROADCAST_PRINTS", 0)
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", 40)
+    rows = text_rows()
+    out = dedup.drop_exact_duplicates(spark.createDataFrame(rows, TEXT).repartition(4))
+    assert "hashpartitioning(_print_1" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 10), REPARTITION_BY_NUM" in plan
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, set(rows)))
+
+
+def test_rows_with_very_many_copies_are_combined_where_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BROADCAST_PRINTS", 0)
+    monkeypatch.setattr(dedup, "MANY_COPIES", 50)
+    rows = text_rows() + [("hot", None, "u")] * 100
+    out = dedup.drop_exact_duplicates(spark.createDataFrame(rows, TEXT).repartition(4))
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, set(rows)))
