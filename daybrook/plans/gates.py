@@ -211,8 +211,10 @@ def staged_gate(raw: DataFrame, staged: DataFrame, pairs: DataFrame, params: Par
         is_first = F.lit(owners.isEmpty())
     expected = keys.groupBy("p_date").agg(_n().alias("expected"))
     unknown = ["fre_community_type", "fre_city_level"]
+    # the smallest row's first columns are the smallest first columns: what comes after the last one read need not move
+    leading = E.COLLAPSE_ORDER[:1 + max(E.COLLAPSE_ORDER.index(c) for c in ("watch_time", "duration"))]
     first_rows = typed.groupBy(*EVENT_KEY, "p_date").agg(
-        F.min(F.struct(*E.COLLAPSE_ORDER)).alias("r"),
+        F.min(F.struct(*leading)).alias("r"),
         *[F.max((F.col(c) == "unknown").cast("int")).alias(f"u_{c}") for c in unknown])
     raw_side = first_rows.groupBy("p_date").agg(
         C.count_if(F.col("r.watch_time") > F.col("r.duration") * F.lit(params.rewatch_ratio)).alias("raw_rewatch"),

@@ -183,3 +183,12 @@ def test_constraints(spark):
 def test_age_gate_is_wider_than_the_constraint():
     assert (Params().age_min, Params().age_max) == (-1, 200)
     assert "age BETWEEN 10 AND 100" in constraints.VALUE_RULES["users"].values()
+
+
+def test_the_staged_gate_moves_no_columns_it_does_not_read(spark):
+    """The raw side needs a row's first columns up to the duration; attributes of users never reach an exchange."""
+    raw = raw_df(spark, two_days())
+    plan = gates.staged_gate(raw, stage.stage_events(raw), stage.stage_category_pairs(raw))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    firsts = [line for line in text.splitlines() if "min(struct(p_hour" in line and "raw_rewatch" not in line]
+    assert any("duration" in line and "fre_city," not in line.split("min(struct(")[1].split(")")[0] for line in firsts)
