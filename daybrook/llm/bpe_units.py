@@ -32,11 +32,11 @@ _BLANK = BYTE_CHARS[32]
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, spaces: bool) -> "UnitEncoder":
+def encoder(path: str, spaces: bool, cache_bytes: int | None = None) -> "UnitEncoder":
     """The worker's encoder for a vocabulary file. ``spaces``: white space takes part in tokens."""
-    if (path, spaces) not in _ENCODERS:
-        _ENCODERS[path, spaces] = UnitEncoder(path, spaces)
-    return _ENCODERS[path, spaces]
+    if (path, spaces, cache_bytes) not in _ENCODERS:
+        _ENCODERS[path, spaces, cache_bytes] = UnitEncoder(path, spaces, cache_bytes)
+    return _ENCODERS[path, spaces, cache_bytes]
 
 
 class _Cache(dict):
@@ -63,7 +63,7 @@ def after_blank(key: bytes) -> bytes:
 
 
 class UnitEncoder:
-    def __init__(self, path: str, spaces: bool):
+    def __init__(self, path: str, spaces: bool, cache_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -72,7 +72,7 @@ class UnitEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.spaces = spaces
-        entries = CACHE_BYTES // ENTRY_BYTES // 2
+        entries = (cache_bytes or CACHE_BYTES) // ENTRY_BYTES // 2
         # nearly all units of a text follow a blank, or stand alone where white space does not count
         self.common = _Cache(self._after_blank if spaces else self._alone, entries * 7 // 8)
         self.others = _Cache(self._alone, entries // 8) if spaces else self.common

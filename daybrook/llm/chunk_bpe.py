@@ -29,7 +29,8 @@ WINDOW = 16          # bytes in the rolling hash
 MASK_BITS = 10       # a border about every 1024 bytes
 MIN_CHUNK = 64       # bytes
 EDGE = 3             # units kept apart at each end of a chunk, for the joins
-CACHE_BYTES = 32 << 20  # of chunks per worker, both generations
+CACHE_BYTES = 16 << 20  # of chunks per worker, both generations
+UNIT_BYTES = 40 << 20   # of units per worker: a decoding worker runs beside each encoding one, which leaves it less than others have
 CHUNK_BYTES = 1_500  # a chunk's key, its units at both ends with their ids, and its share of the table, about
 
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -170,7 +171,7 @@ _DECODERS: dict = {}
 
 def _encoder(path: str) -> ChunkEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(encoder(path, spaces=True))
+        _ENCODERS[path] = ChunkEncoder(encoder(path, spaces=True, cache_bytes=UNIT_BYTES))
     return _ENCODERS[path]
 
 

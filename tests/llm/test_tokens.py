@@ -53,6 +53,14 @@ def test_chunk_cache_is_bounded(texts, monkeypatch):
     assert len(chunks.young) + len(chunks.old) <= 40
 
 
+def test_encoders_beside_decoders_hold_smaller_caches(monkeypatch):
+    monkeypatch.setattr(chunk_bpe, "_ENCODERS", {})
+    units = chunk_bpe._encoder(vocabulary(BYTES)).units
+    assert (units.common.entries + units.others.entries) * 2 * bpe_units.ENTRY_BYTES <= chunk_bpe.UNIT_BYTES
+    assert chunk_bpe.UNIT_BYTES + chunk_bpe.CACHE_BYTES <= bpe_units.CACHE_BYTES // 2
+    assert bpe_units.encoder(vocabulary(BYTES), True) is not units
+
+
 def test_texts_of_several_megabytes(table):
     """One text of 3 MB with a passage that repeats, beside short ones, through encoding and packing."""
     words = [f"w{k * 7919 % 5003}{'.' * (k % 11 == 0)}" for k in range(400_000)]
