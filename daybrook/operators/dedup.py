@@ -47,9 +47,10 @@ def has_exact_text(df: DataFrame) -> bool:
 
 
 def digest(columns) -> Column:
-    """SHA-256 of a row's text, 32 bytes. Lengths tell cells apart, ``-`` stands for null."""
+    """SHA-256 of a row's text, 32 bytes. The lengths behind the cells tell them apart, -1 stands for null."""
     cells = [F.col(f"`{c}`").cast("string") for c in columns]
-    return F.unhex(F.sha2(F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in cells]), 256))
+    lengths = [F.coalesce(F.octet_length(x), F.lit(-1)).cast("string") for x in cells]
+    return F.unhex(F.sha2(F.concat_ws(",", *cells, *lengths), 256))
 
 
 def _side(prints: DataFrame, count: int) -> DataFrame:
