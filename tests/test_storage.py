@@ -220,3 +220,21 @@ def test_a_hot_date_is_clustered_in_several_files(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     files = spark.read.parquet(str(tmp_path / "c")).groupBy(F.input_file_name()).count().collect()
     assert len(files) >= 6 and max(r["count"] for r in files) < 6000
+
+
+def test_replacing_one_date_moves_no_row(spark, tmp_path):
+    spark.range(4000).selectExpr("id", "date'2024-01-02' AS p_date").repartition(3).write.parquet(f"{tmp_path}/day")
+    spark.range(10).selectExpr("id", "date'2024-01-01' AS p_date").write.partitionBy("p_date").parquet(f"{tmp_path}/t")
+    plans, write = [], W.write_partitions
+
+    def seen(df, root, column="p_date", fmt="parquet", stored=False, **options):
+        plans.append((df if stored else W.by_date(df, column))._jdf.queryExecution().toString())
+        write(df, root, column, fmt, stored=stored, **options)
+
+    W.write_partitions = seen
+    try:
+        assert W.replace_partition(spark.read.parquet(f"{tmp_path}/day"), f"{tmp_path}/t", "p_date", "2024-01-02") == 4000
+    finally:
+        W.write_partitions = write
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 4010
+    assert plans and not any("Exchange" in p for p in plans)
