@@ -49,7 +49,7 @@ SELECT u.user_id, u.gender, CAST(CASE WHEN u.user_id % 9 = 0 THEN u.age + 1 ELSE
 FROM users_typed u LEFT JOIN ev e ON u.user_id = e.user_id GROUP BY ALL""")
 def upsert_buckets(spark, sf):
     """Two loads: all users, then a ninth of them changed together with the later dates; totals cover all dates."""
-    curated = curated_tables(spark, sf)
+    curated = curated_tables(spark, sf, I.events_told_apart(spark, sf))
     root = work_path(spark, "warehouse")
     labels = sorted(r[0] for r in curated["interactions_curated"].select(C.date_to_label("p_date")).distinct().collect())
     WH.load_dates(spark, curated, root, labels[:len(labels) // 2])

@@ -2,10 +2,10 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from daybrook.functions import columns as C
-from daybrook.schemas import CATEGORY_COLUMNS, RAW_COLUMNS
+from daybrook.schemas import CATEGORY_COLUMNS, EVENT_KEY, RAW_COLUMNS
 from daybrook.session import materialize
 
 
@@ -229,6 +229,17 @@ def daily_events(spark, sf_dir) -> DataFrame:
     )
 
 
+def events_told_apart(spark, sf_dir) -> DataFrame:
+    """``daily_events`` with a key of its own for every row, as the warehouse asks for.
+
+    The table's events are finer than seconds, so one user and video may have several in a second; every one of them is an
+    event. ``exposed_time`` counts microseconds here, and the events of one second are numbered from its start.
+    """
+    same_second = Window.partitionBy(*EVENT_KEY).orderBy("title", "watch_time")
+    return daily_events(spark, sf_dir).withColumn(
+        "exposed_time", F.col("exposed_time") * 1_000_000 + F.row_number().over(same_second) - 1)
+
+
 def daily_events_in_two_dates(spark, sf_dir) -> DataFrame:
     """``daily_events`` plus a copy of every sign-up under the following date."""
     e = daily_events(spark, sf_dir)

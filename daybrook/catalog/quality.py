@@ -283,11 +283,14 @@ SELECT 'curated' AS stage, strftime(d, '%Y%m%d') AS p_date, name, check_type, 'E
 FROM ({" UNION ALL ".join(out)})""".replace("FROM dates", "FROM (SELECT DISTINCT p_date AS d FROM ev)")
 
 
-def curated_tables(spark, sf):
-    """The published tables over ``events``: facts, features and dimensions, stored as the gate finds them."""
+def curated_tables(spark, sf, facts=None):
+    """The published tables over ``events``: facts, features and dimensions, stored as the gate finds them.
+
+    ``facts``: the events as the fact table is to hold them, where they differ from ``daily_events``.
+    """
     e = I.daily_events(spark, sf)
     plans = {
-        "interactions_curated": curate.curated_events(e),
+        "interactions_curated": curate.curated_events(e if facts is None else facts),
         "daily_user_features": curate.daily_features(e),
         "users": I.users(spark, sf),
         "videos": curate.dim_videos(e, stage.stage_transcripts(I.transcripts(spark, sf))),

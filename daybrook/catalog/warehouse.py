@@ -80,7 +80,7 @@ UNION ALL SELECT 'categories', count(*), NULL, NULL FROM nation
 UNION ALL SELECT 'video_categories', count(*), NULL, NULL FROM bridge""")
 def warehouse_load(spark, sf):
     """Every date published in one load, one of them again in another: the same contents."""
-    curated = curated_tables(spark, sf)
+    curated = curated_tables(spark, sf, I.events_told_apart(spark, sf))
     root = work_path(spark, "warehouse")
     dates = curated["interactions_curated"].select(C.date_to_label("p_date")).distinct().collect()
     WH.load_dates(spark, curated, root, [d[0] for d in dates])
@@ -101,7 +101,7 @@ def warehouse_load(spark, sf):
 SELECT p_date, count(*) AS n_rows, false AS second_load_published FROM ev WHERE p_date < DATE '2024-01-15' GROUP BY 1""")
 def load_all_or_nothing(spark, sf):
     """The later dates break a rule: their load raises and the warehouse still holds only the earlier ones."""
-    curated = curated_tables(spark, sf)
+    curated = curated_tables(spark, sf, I.events_told_apart(spark, sf))
     root = work_path(spark, "warehouse")
     labels = sorted(d[0] for d in curated["interactions_curated"].select(C.date_to_label("p_date")).distinct().collect())
     WH.load_dates(spark, curated, root, [d for d in labels if d < _DAYS[1]])
