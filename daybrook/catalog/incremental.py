@@ -7,13 +7,18 @@ from daybrook.catalog.entry import query
 from daybrook.catalog.quality import curated_tables
 from daybrook.functions import columns as C
 from daybrook.plans import dimensions as D, stage, warehouse as WH
+from daybrook.schemas import EVENT_KEY
 from daybrook.session import materialize, work_path
 
 
 def _followed(spark, sf, dim):
     """One dimension through a rebuild, a late date, a replaced date, a date that comes and is emptied again."""
-    raw = I.landed_raw(spark, sf)
-    rows = materialize(stage.stage_category_pairs(raw) if dim is D.BRIDGE else stage.stage_events(raw), "rows")
+    raw = I.raw_interactions(spark, sf)
+    if dim is D.BRIDGE:  # pairs are made from two scans, of these columns only
+        staged = stage.stage_category_pairs(materialize(raw.select(*EVENT_KEY, "category_id", "p_date"), "raw"))
+    else:
+        staged = stage.stage_attributes(raw, dim.row)
+    rows = materialize(staged, "rows")
     days = [str(r[0]) for r in rows.select("p_date").distinct().orderBy("p_date").collect()]  # one per year
     late, replaced, extra = days[1], days[-1], "2010-01-01"
     store = D.Store(spark, work_path(spark, "dimensions"), dim)

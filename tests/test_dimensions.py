@@ -93,3 +93,19 @@ def test_state_names_the_dates(spark):
     rows = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in USER_ATTRIBUTES])
     state = {r["user_id"]: r["dates"] for r in D.state_of(D.USERS, D.contributions(D.USERS, rows)).collect()}
     assert state == {1: [day(0), day(2)], 2: [day(2)]}
+
+
+def test_pairs_follow_without_stored_copies(spark, tmp_path, monkeypatch):
+    """Without attributes a key falls back by the dates it is known in: nothing is stored but parts and state."""
+    monkeypatch.setattr(D, "materialize", lambda df, name: pytest.fail(f"{name} is stored"))
+    schema = "pid bigint, category_id bigint, p_date date"
+    store = D.Store(spark, str(tmp_path / "dims"), D.BRIDGE)
+    store.rebuild(spark.createDataFrame([(1, 1, day(0)), (1, 2, day(0)), (2, 1, day(2))], schema))
+    new = spark.createDataFrame([(1, 1, day(3)), (3, 3, day(3))], schema)
+    assert rows_of(store.follow(new, [str(day(3))])) == [(1, 1), (1, 2), (2, 1), (3, 3)]
+    state = {(r["pid"], r["category_id"]): (r["top"]["p_date"], r["dates"]) for r in store.state(new).collect()}
+    assert state[1, 1] == (day(3), [day(0), day(3)])
+    assert rows_of(store.follow(new.where("false"), [str(day(3))])) == [(1, 1), (1, 2), (2, 1)]
+    state = {(r["pid"], r["category_id"]): (r["top"]["p_date"], r["dates"]) for r in store.state(new).collect()}
+    assert state == {(1, 1): (day(0), [day(0)]), (1, 2): (day(0), [day(0)]), (2, 1): (day(2), [day(2)])}
+    assert sorted(p.name for p in (tmp_path / "dims" / "video_categories").iterdir() if p.is_dir()) == ["parts", "state"]

@@ -1,5 +1,6 @@
 """Typing, duplicates, ownership, collapse, lookups and transcripts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from daybrook.functions import columns as C
@@ -151,3 +152,12 @@ def test_hot_event_is_combined_before_the_shuffle(spark):
            "exposed_time": F.lit(str(T0)).alias("exposed_time")}.get(c, F.col(c)) for c in RAW_COLUMNS])
     got = stage.stage_events(many)
     assert got.count() == n - n // 3 and got.where("pid = 1").first()["tag_count"] == 5000
+
+
+@pytest.mark.parametrize("wanted", [["title", "author_id", "duration"], ["gender", "fre_city_level"]])
+def test_owned_attributes_equal_the_staged_columns(spark, wanted):
+    raw = raw_df(spark, two_days() + [raw_row(title="b", author_id=3), raw_row(title="a", author_id=4, duration="9.0"),
+                                      raw_row(title="a", author_id=4, duration="8.0", p_date=D2)])
+    got = stage.stage_attributes(raw, wanted)
+    want = stage.stage_events(raw).select(*EVENT_KEY, "p_date", *wanted)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
