@@ -1,6 +1,8 @@
 """CSV edge cases, landing, logs, partition replacement, upsert, layout audit."""
 
+import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +240,32 @@ def test_replacing_one_date_moves_no_row(spark, tmp_path):
         W.write_partitions = write
     assert spark.read.parquet(f"{tmp_path}/t").count() == 4010
     assert plans and not any("Exchange" in p for p in plans)
+
+
+def test_few_dates_stay_where_they_are_read(spark, tmp_path, monkeypatch):
+    """Rows of few dates are landed without being dealt by date; of many dates they are."""
+    raw_df(spark, two_days()).write.options(**R.CSV_WRITE).csv(str(tmp_path / "src"))
+    dealt, deal = [], W.by_date
+    monkeypatch.setattr(W, "by_date", lambda df, column: dealt.append(column) or deal(df, column))
+    found = []
+    for few in (ingest.FEW_DATES, 1):
+        monkeypatch.setattr(ingest, "FEW_DATES", few)
+        status, detail = ingest.land_interactions(spark, str(tmp_path / "src"), str(tmp_path / f"raw{few}"))
+        assert status == "OK" and json.loads(detail)["partitions"] == {D1: 6, D2: 3}
+        found.append((sorted(map(tuple, R.read_raw(spark, str(tmp_path / f"raw{few}")).collect())), len(dealt)))
+    assert found[0][0] == found[1][0] and [n for _, n in found] == [0, 1]
+
+
+def test_a_date_is_replaced_from_a_plan_that_reads_it(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "n bigint, p_date date"
+    rows = spark.createDataFrame([(1, dt.date(2022, 9, 16)), (2, dt.date(2022, 9, 17))], schema)
+    W.write_partitions(rows, root)
+    stored = spark.read.schema(schema).parquet(root)
+    W.replace_date(stored.withColumn("n", F.col("n") + 10), root, "p_date", "2022-09-17")
+    W.replace_date(rows.withColumns({"n": F.lit(5).cast("bigint"), "p_date": F.lit(dt.date(2022, 9, 18))}), root, "p_date", "2022-09-18")
+    read = lambda: sorted((r["n"], str(r["p_date"])) for r in spark.read.schema(schema).parquet(root).collect())
+    assert read() == [(1, "2022-09-16"), (5, "2022-09-18"), (5, "2022-09-18"), (12, "2022-09-17")]
+    W.replace_date(rows.where("false"), root, "p_date", "2022-09-16")
+    assert read() == [(5, "2022-09-18"), (5, "2022-09-18"), (12, "2022-09-17")]
+    assert sorted(n for n in os.listdir(root) if n != "_SUCCESS") == [f"p_date=2022-09-{d}" for d in (16, 17, 18)]
+    assert R.partition_dates(spark, root, "p_date") == ["2022-09-16", "2022-09-17", "2022-09-18"]
