@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from daybrook.llm import ann, components, groups, jaccard, suffix_dedup
+from daybrook.llm import ann, common, components, groups, jaccard, suffix_dedup
 from tests.llm.conftest import by_id
 
 
@@ -83,6 +83,31 @@ def test_jaccard_links_and_filter(table):
     assert jaccard.assign(docs.where("false")).count() == 0 and jaccard.keep_first(docs.where("false")).count() == 0
 
 
+def test_jaccard_nodes_of_one_label(table, monkeypatch):
+    """Entries of several sets under one label: the sets are compared with each other, and nobody loses a link."""
+    monkeypatch.setattr(jaccard, "label_of", lambda node: node[0] & 3)
+    rows = near_rows(5)
+    assert by_id(jaccard.assign(table(rows))) == plain_components(rows)
+
+
+def test_packed_entries_are_small():
+    rng = np.random.default_rng(3)
+    labels = np.sort(rng.integers(0, 1 << 40, 200).astype(np.uint64).repeat(20))
+    tokens = rng.integers(0, 1 << 32, len(labels)).astype(np.uint64)
+    assert (common.unpack_sorted(common.pack_sorted(labels), len(labels)) == labels).all()
+    assert (common.unpack(common.pack(tokens), len(tokens)) == tokens).all()
+    assert len(common.pack_sorted(labels)) + len(common.pack(tokens)) < 5 * len(labels)
+
+
+def test_keep_first_moves_no_text(table, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard.keep_first(table(near_rows(3)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_unlinked_texts_that_share_a_passage(table):
     """The passage is half of each text: no links, however many texts hold it, and few rows on the way."""
     rng = random.Random(11)
