@@ -10,7 +10,7 @@ from daybrook.schemas import (
     ACCEPTED_VALUES, BOOL_COLUMNS, CURATED_EVENT_COLUMNS, FEATURE_COLUMNS, INT_COLUMNS, RAW_COLUMNS,
     USER_ATTRIBUTES, USER_COLUMNS, VIDEO_COLUMNS,
 )
-from daybrook.session import materialize, work_path
+from daybrook.session import materialize, release, work_path
 from daybrook.sources import readers as R, sinks as W
 from daybrook.sources.readers import PART
 
@@ -113,9 +113,11 @@ def gate_raw_schema(spark, sf):
     }
     for name, rows in shapes.items():
         rows.write.options(**R.CSV_WRITE).csv(f"{root}/source/{name}")
+    none = spark.createDataFrame([], raw.schema)
+    release(raw)
     landed = f"{root}/raw"
     ingest.land_interactions(spark, f"{root}/source/*/*.csv", landed)
-    W.replace_partition(raw.where("false").withColumn(PART, F.col("p_date")), landed, PART, "19990101")
+    W.replace_partition(none.withColumn(PART, F.col("p_date")), landed, PART, "19990101")
     rep = gates.raw_gate(R.read_raw_as_delivered(spark, landed), I.raw_categories(spark, sf), I.transcripts(spark, sf),
                          dates=R.partition_dates_df(spark, landed))
     return rep.where("seq <= 4").select("p_date", "name", "violations", "detail")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from daybrook.functions import columns as C
 from daybrook.operators import compare
 from daybrook.plans import gates, ingest, layout
 from daybrook.schemas import CATEGORY_COLUMNS, RAW_COLUMNS
+from daybrook.session import shared_root
 from daybrook.sources import readers as R, sinks as W
 from tests.conftest import D1, D2, D3, files_df, lookup_df, raw_df, raw_row, two_days
+from tests.test_session import shuffle_files
 
 ROWS = ('1,"line one, with comma\nline two ""quoted""",20220916\ntoo,short\n2,,20220917\n3,"",20220917\n'
         '1,2,3,4\n4, x ,20220917\n')
@@ -269,3 +272,48 @@ def test_a_date_is_replaced_from_a_plan_that_reads_it(spark, tmp_path):
     assert read() == [(5, "2022-09-18"), (5, "2022-09-18"), (12, "2022-09-17")]
     assert sorted(n for n in os.listdir(root) if n != "_SUCCESS") == [f"p_date=2022-09-{d}" for d in (16, 17, 18)]
     assert R.partition_dates(spark, root, "p_date") == ["2022-09-16", "2022-09-17", "2022-09-18"]
+
+
+def landing_copies(spark):
+    root = shared_root(spark).removeprefix("file://")
+    return [n for n in os.listdir(root) if n.startswith("landing-")] if os.path.isdir(root) else []
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_plan_of_few_dates_is_landed_without_moving_rows_by_date(spark, tmp_path, monkeypatch, fmt):
+    """Its copy goes after landing; of many dates the rows are dealt as before, and the same rows arrive."""
+    dealt, deal = [], W.by_date
+    monkeypatch.setattr(W, "by_date", lambda df, column: dealt.append(column) or deal(df, column))
+    rows, before, found = raw_df(spark, two_days()).repartition(3), landing_copies(spark), []
+    for few in (W.FEW_DATES, 1):
+        monkeypatch.setattr(W, "FEW_DATES", few)
+        W.fanout_by_date(rows, str(tmp_path / f"raw{few}"), fmt)
+        found.append((sorted(map(tuple, R.read_raw(spark, str(tmp_path / f"raw{few}"), fmt=fmt).collect())), len(dealt)))
+    assert found[0][0] == found[1][0] and len(found[0][0]) == 9 and [n for _, n in found] == [0, 1]
+    assert landing_copies(spark) == before
+
+
+def test_landed_csv_is_compressed(spark, tmp_path):
+    W.fanout_by_date(raw_df(spark, two_days()), str(tmp_path / "raw"), "csv")
+    assert all(n.endswith(".csv.gz") for n in os.listdir(tmp_path / "raw" / f"part_date={D1}") if n.startswith("part-"))
+
+
+def test_the_parsed_copy_goes_after_landing(spark, tmp_path):
+    before = landing_copies(spark)
+    raw_df(spark, two_days()).write.options(**R.CSV_WRITE).csv(str(tmp_path / "src"))
+    assert ingest.land_interactions(spark, str(tmp_path / "src"), str(tmp_path / "raw"))[0] == "OK"
+    assert R.read_raw(spark, str(tmp_path / "raw")).count() == 9 and landing_copies(spark) == before
+
+
+def test_writers_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = spark.range(4000).selectExpr("id", "date_add(date'2024-01-01', CAST(id % 3 AS INT)) AS p_date").repartition(3, "id")
+    W.write_partitions(rows, f"{tmp_path}/a")
+    W.replace_all(rows, f"{tmp_path}/b")
+    W.overwrite_table(rows, f"{tmp_path}/c")
+    W.replace_date(rows, f"{tmp_path}/d", "p_date", "2024-01-02")
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
