@@ -13,7 +13,7 @@ from daybrook.schemas import EVENT_KEY, RAW_COLUMNS
 
 @query("exact_dedup", "SELECT DISTINCT * FROM raw")
 def exact_dedup(spark, sf):
-    return dedup.drop_exact_duplicates(I.landed_raw(spark, sf))
+    return dedup.drop_exact_duplicates(I.landed_raw(spark, sf), stored=True)
 
 
 @query("duplicate_share", """
@@ -28,7 +28,7 @@ def duplicate_share(spark, sf):
 @query("typed_events", """
 SELECT * EXCLUDE (owner, category_id, tag_name) FROM typed""")
 def typed_events(spark, sf):
-    d = dedup.drop_exact_duplicates(I.landed_raw(spark, sf))
+    d = dedup.drop_exact_duplicates(I.landed_raw(spark, sf), stored=True)
     return E.type_rows(d, [c for c in RAW_COLUMNS if c not in (
         "category_id", "category_level", "parent_id", "root_id", "tag_name")])
 

@@ -10,7 +10,7 @@ once, to a number of tasks that grows with the rows.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from daybrook.session import materialize
 
@@ -19,6 +19,10 @@ PRINT = ("_print_1", "_print_2")
 BROADCAST_PRINTS = 500_000
 # rows that one task compares in full, and copies from which on a row is combined where it is read
 ROWS_PER_TASK, MANY_COPIES = 250_000, 25_000
+# bits of a row's place that number it within its file, within a bitmap and within a word of that
+ROW_BITS, BLOCK_BITS, WORD_BITS = 34, 13, 6
+# rows of a stored table whose bits are sent to all tasks at once (64 MB)
+MARKED_AT_ONCE = 500_000_000
 # types whose text is equal for equal values only
 EXACT_TEXT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType, T.DateType)
 
@@ -87,12 +91,55 @@ def _drop_many(df: DataFrame, prints: DataFrame) -> DataFrame:
     return rest if hot is None else rest.unionByName(hot)
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+def _firsts_where_read(df: DataFrame) -> DataFrame:
+    """Distinct rows of a stored Parquet table; no row moves.
+
+    A row's digest and its place, (file, number in it), are all that is shuffled. The first place of each digest is kept: one bit
+    a row, gathered to a bitmap for each 2 ** ``BLOCK_BITS`` rows of a file. The table is read again beside its bitmaps, in rounds of
+    files if there are more than fit into a broadcast.
+    """
+    meta = df.metadataColumn("_metadata")
+    taken = {c.lower() for c in df.columns}
+    file, at, block, words = (next(n for n in (base + "_" * k for k in range(99)) if n not in taken)
+                              for base in ("_file", "_at", "_block", "_words"))
+    found = df.groupBy(meta["file_path"].alias(file)).agg(F.max(meta["row_index"]).alias("_last"))
+    number = F.row_number().over(Window.orderBy(file)).cast("bigint")  # one short row a file
+    files = materialize(found.select(file, number.alias("_number"), "_last"), "files")
+    rows = files.select(F.coalesce(F.sum(F.col("_last") + 1), F.lit(0))).first()[0]
+    rounds = max(1, -(-rows // MARKED_AT_ONCE))
+
+    places = df.select(digest(df.columns).alias("_digest"), meta["file_path"].alias(file), meta["row_index"].alias("_row")).join(
+        F.broadcast(files), file).select("_digest", (F.shiftleft("_number", ROW_BITS) + F.col("_row")).alias("_place"))
+    first = places.groupBy("_digest").agg(F.min("_place").alias("_place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_place") % 64).cast("int"))
+    of_word = first.groupBy(F.shiftright("_place", WORD_BITS).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    per_block = 1 << (BLOCK_BITS - WORD_BITS)
+    listed = of_word.groupBy(F.shiftright("_word", BLOCK_BITS - WORD_BITS).alias("_part")).agg(F.map_from_entries(
+        F.collect_list(F.struct((F.col("_word") % per_block).cast("int").alias("k"), "_bits"))).alias("_of"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(per_block - 1)), lambda k: F.coalesce(F.try_element_at("_of", k), F.lit(0).cast("bigint")))
+    marks = materialize(listed.select(
+        F.shiftright("_part", ROW_BITS - BLOCK_BITS).alias("_number"), (F.col("_part") % (1 << (ROW_BITS - BLOCK_BITS))).alias(block),
+        every.alias(words)).join(F.broadcast(files), "_number").select(file, "_number", block, words), "marks")
+
+    whole = df.select("*", meta["file_path"].alias(file), meta["row_index"].alias(at)).withColumn(block, F.shiftright(at, BLOCK_BITS))
+    in_block = (F.col(at) % (1 << BLOCK_BITS)).cast("int")
+    kept = F.getbit(F.get(words, F.shiftright(in_block, WORD_BITS)), in_block % 64) == 1
+    parts = [whole.join(F.broadcast(marks.where(F.col("_number") % rounds == k).drop("_number")), [file, block]).where(kept)
+             for k in range(rounds)]
+    return reduce(DataFrame.unionByName, [x.select(*_named(df)) for x in parts])
+
+
+def drop_exact_duplicates(df: DataFrame, stored=False) -> DataFrame:
     """Distinct rows over all columns, compared as they are (text stays text: ``20.0`` is not ``20.00``).
 
-    Rows without a double stay where they are read. Where too many fingerprints repeat to be sent to all tasks, every row
-    has to move anyway and does so once. ``df`` is read more than once: pass a stored table.
+    ``stored``: ``df`` is a Parquet table as it was read, so that a row is told by its place. Where its types have exact texts,
+    equal digests count as equal rows and no row moves.
+
+    Otherwise rows without a double stay where they are read. Where too many fingerprints repeat to be sent to all tasks, every
+    row has to move anyway and does so once. ``df`` is read more than once: pass a stored table.
     """
+    if stored and has_exact_text(df):
+        return _firsts_where_read(df)
     counted = _counted_prints(df)
     if counted.count() > BROADCAST_PRINTS:
         return _drop_many(df, counted)

@@ -112,3 +112,27 @@ def test_rows_with_very_many_copies_are_combined_where_they_are_read(spark, monk
     rows = text_rows() + [("hot", None, "u")] * 100
     out = dedup.drop_exact_duplicates(spark.createDataFrame(rows, TEXT).repartition(4))
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, set(rows)))
+
+
+@pytest.mark.parametrize("at_once", [500_000_000, 100])
+def test_stored_rows_stay_where_they_are_read(spark, tmp_path, monkeypatch, at_once):
+    """Copies within a file, between files and in very many places; also with several rounds of files."""
+    monkeypatch.setattr(dedup, "MARKED_AT_ONCE", at_once)
+    rows = text_rows() + [("hot", None, "u")] * 300
+    folder = f"{tmp_path}/a b=%20,c"
+    spark.createDataFrame(rows, TEXT).repartition(4).write.parquet(folder)
+    df = spark.read.parquet(folder)
+    out = dedup.drop_exact_duplicates(df, stored=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and out.columns == df.columns
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, set(rows)))
+
+
+def test_stored_rows_beyond_one_bitmap(spark, tmp_path):
+    spark.range(0, 60_000, 1, 2).selectExpr("id % 41000 AS _file", "CAST(id % 41000 AS string) AS _at").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = dedup.drop_exact_duplicates(df, stored=True)
+    assert out.count() == 41_000 and out.distinct().count() == 41_000
+    assert dedup.drop_exact_duplicates(df.where("false"), stored=True).count() == 0
+    spark.read.parquet(f"{tmp_path}/t").where("false").write.parquet(f"{tmp_path}/none")
+    assert dedup.drop_exact_duplicates(spark.read.parquet(f"{tmp_path}/none"), stored=True).count() == 0
