@@ -1,10 +1,12 @@
 """Typing, duplicates, ownership, collapse, lookups and transcripts."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from daybrook.functions import columns as C
-from daybrook.operators import compare, dedup
+from daybrook.operators import compare, dedup, events as E
 from daybrook.params import Params
 from daybrook.plans import curate, stage
 from daybrook.schemas import EVENT_KEY
@@ -161,3 +163,19 @@ def test_owned_attributes_equal_the_staged_columns(spark, wanted):
     got = stage.stage_attributes(raw, wanted)
     want = stage.stage_events(raw).select(*EVENT_KEY, "p_date", *wanted)
     assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+
+
+def test_owned_events_equal_the_two_steps(spark):
+    """Events in several dates, with copies, ties, nulls and tags that differ by date."""
+    rng = random.Random(8)
+    rows = [raw_row(user_id=rng.randrange(3), pid=rng.randrange(4), exposed_time=T0 + rng.randrange(2), p_hour=rng.randrange(3),
+                    title=rng.choice("ab"), tag_name=rng.choice("xyz"), p_date=rng.choice([D1, D2]), watch_time=rng.randrange(4))
+            for _ in range(150)]
+    rows += [{**raw_row(pid=9), "pid": None}, {**raw_row(pid=8), "p_date": None}, {**raw_row(pid=7), "tag_name": None}]
+    typed = E.type_rows(raw_df(spark, rows))
+    want, got = E.keep_earliest_date(E.collapse(typed)), E.collapse_owned(typed)
+    assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))) and got.count() > 10
+    plan = E.collapse_owned(typed)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Aggregate" in line and "min(struct" in line]
+    assert "row_number()" not in plan and len(wide) == 2  # before and after the one exchange of wide rows
